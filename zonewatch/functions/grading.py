@@ -1,4 +1,4 @@
-"""Threshold grading of window metrics, compiled to plain Column expressions.
+"""Threshold grading of window metrics, compiled to plain expressions.
 
 Null metrics keep three-valued logic: an unknown comparison never raises a level
 and never hides one that another metric raises.
@@ -6,33 +6,32 @@ and never hides one that another metric raises.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from zonewatch.sensors import Sensor
+from zonewatch.sensors import Sensor, quoted
 from zonewatch.settings import GREEN, ORANGE, RED
 
 
-def _passes(metric: str, comparison: str, bound) -> Column:
-    return F.col(metric) >= bound if comparison == ">=" else F.col(metric) <= bound
+def _test(metric: str, comparison: str, bound) -> str:
+    return f"{metric} {comparison} {bound}D"
 
 
-def _any_of(conditions) -> Column:
-    return reduce(or_, [_passes(*c) for c in conditions])
+def _any_of(conditions) -> str:
+    return " OR ".join(_test(*c) for c in conditions)
 
 
-def severity(sensor: Sensor) -> Column:
+def severity(sensor: Sensor) -> str:
+    """SQL text of the level."""
     red = [(m, c, hi) for m, c, _, hi in sensor.limits if hi is not None]
     orange = [(m, c, lo) for m, c, lo, _ in sensor.limits if lo is not None]
-    return F.when(_any_of(red), RED).when(_any_of(orange), ORANGE).otherwise(GREEN)
+    return f"CASE WHEN {_any_of(red)} THEN '{RED}' WHEN {_any_of(orange)} THEN '{ORANGE}' ELSE '{GREEN}' END"
 
 
-def message(sensor: Sensor, level: Column) -> Column:
-    texts = sensor.messages
-    return F.when(level == RED, texts[RED]).when(level == ORANGE, texts[ORANGE]).otherwise(texts[GREEN])
+def message(sensor: Sensor) -> str:
+    """SQL text of the message for the row's ``alert_level``."""
+    texts = {level: quoted(text) for level, text in sensor.messages.items()}
+    return f"CASE alert_level WHEN '{RED}' THEN {texts[RED]} WHEN '{ORANGE}' THEN {texts[ORANGE]} ELSE {texts[GREEN]} END"
 
 
 def fired_rules(sensor: Sensor) -> Column:
@@ -42,10 +41,10 @@ def fired_rules(sensor: Sensor) -> Column:
     """
     entries = []
     for rule, level, conditions, text in sensor.rules:
-        fired = F.coalesce(*[F.when(_passes(*c), F.col(c[0]).cast("double")) for c in conditions])
+        fired = F.coalesce(*[F.when(F.expr(_test(*c)), F.col(c[0]).cast("double")) for c in conditions])
         entries.append(
             F.when(
-                _any_of(conditions),
+                F.expr(_any_of(conditions)),
                 F.struct(
                     F.lit(rule).alias("rule_id"),
                     F.lit(level).alias("rule_level"),

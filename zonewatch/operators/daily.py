@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonewatch.sensors import SENSORS, Sensor, faulty
+from zonewatch.sensors import FAULTY, SENSORS, Sensor
 
 DAY_KEYS = ("date_partition", "zone")
-_CALLS = {"avg": F.avg, "max": F.max, "min": F.min}
 
 
 def _aggregate(name: str, call: str, field: str) -> Column:
-    column = F.sum(faulty()) if call == "faults" else _CALLS[call](field)
-    return column.alias(name)
+    return F.expr(f"sum({FAULTY})" if call == "faults" else f"{call}({field})").alias(name)
 
 
 def daily(readings: DataFrame, sensor: Sensor) -> DataFrame:

@@ -9,122 +9,116 @@ Stream: one ``window()`` aggregation, whose state and late-row rule are per wind
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.functions import grading
-from zonewatch.functions.stats import settled
-from zonewatch.sensors import Sensor, by_sensor, faulty
+from zonewatch.functions.stats import GRADING_PLACES
+from zonewatch.sensors import FAULTY, Sensor, case_by_sensor
 from zonewatch.settings import ALERT_WINDOW, GREEN, TREND, TREND_WINDOW
 
 KEYS = ("sensor", "zone")
 
 
-def _metric_sources(sensors) -> dict[str, str]:
+def _sources(sensors) -> dict[str, str]:
     return {metric: field for sensor in sensors for metric, field in sensor.averages.items()}
 
 
-def _faults(sensors) -> Column:
-    """Fault counter; null for sensors that do not report faults."""
+def _faults(sensors) -> list[str]:
+    """Fault counter, null for sensors that do not report faults; none if no sensor does."""
     counting = [s.name for s in sensors if s.counts_faults]
+    if not counting:
+        return []
     if len(counting) == len(sensors):
-        return F.sum(faulty())
-    return F.sum(F.when(F.col("sensor").isin(counting), faulty()))
+        return [f"sum({FAULTY}) AS nb_faulty"]
+    names = ", ".join(f"'{n}'" for n in counting)
+    return [f"sum(CASE WHEN sensor IN ({names}) THEN {FAULTY} END) AS nb_faulty"]
+
+
+def _settled(mean: str, metric: str) -> str:
+    return f"round({mean}, {GRADING_PLACES}) AS {metric}"
+
+
+def _grouped(rows: DataFrame, window, totals: list[str]) -> DataFrame:
+    return rows.groupBy(window, *KEYS).agg(*[F.expr(t) for t in totals])
+
+
+def _flat(windows: DataFrame) -> DataFrame:
+    rest = [c for c in windows.columns if c != "window"]
+    return windows.selectExpr("window.start AS window_start", "window.end AS window_end", *rest)
 
 
 def batch_windows(readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str) -> DataFrame:
     """Windows over a bounded table: panes first, then windows over panes."""
-    sources = _metric_sources(sensors)
-    counts = any(s.counts_faults for s in sensors)
-    partials = [F.count(F.lit(1)).alias("n")]
+    sources, faults = _sources(sensors), _faults(sensors)
+    partials = ["count(1) AS n"]
     for metric, field in sources.items():
-        partials += [F.sum(F.col(field).cast("double")).alias(f"s_{metric}"), F.count(field).alias(f"n_{metric}")]
-    if counts:
-        partials.append(_faults(sensors).alias("faults"))
-    panes = readings.groupBy(F.window("event_time", slide).alias("pane"), *KEYS).agg(*partials)
-
-    totals = [F.sum("n").alias("nb_mesures")]
-    for metric in sources:
-        mean = F.try_divide(F.sum(f"s_{metric}"), F.sum(f"n_{metric}"))
-        totals.append(settled(mean).alias(metric))
-    if counts:
-        totals.append(F.sum("faults").alias("nb_faulty"))
-    windows = (
-        panes.withColumn("pane_start", F.col("pane.start"))
-        .groupBy(F.window("pane_start", size, slide), *KEYS)
-        .agg(*totals)
-    )
-    return _flat(windows)
+        partials += [f"sum(double({field})) AS s_{metric}", f"count({field}) AS n_{metric}"]
+    panes = _grouped(readings, F.window("event_time", slide).alias("pane"), partials + faults)
+
+    totals = ["sum(n) AS nb_mesures"]
+    totals += [_settled(f"try_divide(sum(s_{m}), sum(n_{m}))", m) for m in sources]
+    if faults:
+        totals.append("sum(nb_faulty) AS nb_faulty")
+    starts = panes.withColumn("pane_start", F.col("pane.start"))
+    return _flat(_grouped(starts, F.window("pane_start", size, slide), totals))
 
 
 def stream_windows(
     readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str, delay: str
 ) -> DataFrame:
     """Windows over a stream, emitted once each after the watermark passes their end."""
-    totals = [F.count(F.lit(1)).alias("nb_mesures")]
-    totals += [settled(F.avg(field)).alias(metric) for metric, field in _metric_sources(sensors).items()]
-    if any(s.counts_faults for s in sensors):
-        totals.append(_faults(sensors).alias("nb_faulty"))
-    windows = (
-        readings.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", size, slide), *KEYS)
-        .agg(*totals)
-    )
-    return _flat(windows)
+    totals = ["count(1) AS nb_mesures"]
+    totals += [_settled(f"avg({field})", metric) for metric, field in _sources(sensors).items()]
+    marked = readings.withWatermark("event_time", delay)
+    return _flat(_grouped(marked, F.window("event_time", size, slide), totals + _faults(sensors)))
 
 
-def _flat(windows: DataFrame) -> DataFrame:
-    rest = [c for c in windows.columns if c != "window"]
-    return windows.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest
-    )
+def zone_windows(readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str, delay: str) -> DataFrame:
+    """Windows of a table or a stream. All sensors share one scan and one aggregation.
+
+    ``readings`` needs ``sensor``, ``zone``, ``event_time`` and the sensors' fields.
+    """
+    ours = readings.filter(F.col("sensor").isin([s.name for s in sensors]))
+    if readings.isStreaming:
+        return stream_windows(ours, sensors, size, slide, delay)
+    return batch_windows(ours, sensors, size, slide)
 
 
 def graded(windows: DataFrame, sensors: tuple[Sensor, ...]) -> DataFrame:
     """Every window with level, text, sensor label and headline value."""
-    return (
-        windows.withColumn("alert_level", by_sensor(grading.severity, sensors))
-        .withColumn("alert_message", by_sensor(lambda s: grading.message(s, F.col("alert_level")), sensors))
-        .withColumn("type_capteur", F.col("sensor"))
-        .withColumn("valeur_detectee", by_sensor(lambda s: F.col(s.headline), sensors))
+    level = case_by_sensor(grading.severity, sensors)
+    text = case_by_sensor(grading.message, sensors)
+    headline = case_by_sensor(lambda s: s.headline, sensors)
+    return windows.selectExpr("*", f"{level} AS alert_level").selectExpr(
+        "*", f"{text} AS alert_message", "sensor AS type_capteur", f"{headline} AS valeur_detectee"
     )
 
 
 def alerts(
-    windows: DataFrame, sensors: tuple[Sensor, ...], min_count: int = 1, grade=None
+    readings: DataFrame, sensors: tuple[Sensor, ...], min_count: int = 1, grade=None
 ) -> DataFrame:
-    """Windows above the normal level. ``min_count`` can hold back windows with few readings;
-    ``grade`` replaces the built-in grading by any DataFrame function that adds ``alert_level``."""
-    levels = grade(windows) if grade else graded(windows, sensors)
+    """Short windows above the normal level.
+
+    ``min_count`` can hold back windows with few readings; ``grade`` replaces the built-in
+    grading by any DataFrame function that adds ``alert_level``.
+    """
+    found = zone_windows(readings, sensors, *ALERT_WINDOW)
+    levels = grade(found) if grade else graded(found, sensors)
     kept = levels.filter(F.col("alert_level") != GREEN)
     return kept.filter(F.col("nb_mesures") >= min_count) if min_count > 1 else kept
 
 
-def trends(windows: DataFrame, sensors: tuple[Sensor, ...]) -> DataFrame:
-    """Every window as a trend row, without a message."""
-    return (
-        windows.withColumn("type_capteur", F.col("sensor"))
-        .withColumn("valeur_detectee", by_sensor(lambda s: F.col(s.headline), sensors))
-        .withColumn("alert_level", F.lit(TREND))
+def trends(readings: DataFrame, sensors: tuple[Sensor, ...]) -> DataFrame:
+    """Every long window as a trend row, without a message."""
+    headline = case_by_sensor(lambda s: s.headline, sensors)
+    return zone_windows(readings, sensors, *TREND_WINDOW).selectExpr(
+        "*", "sensor AS type_capteur", f"{headline} AS valeur_detectee", f"'{TREND}' AS alert_level"
     )
 
 
 def alert_pipeline(
     readings: DataFrame, sensors: tuple[Sensor, ...], min_count: int = 1, grade=None
 ) -> tuple[DataFrame, DataFrame]:
-    """(alerts over short windows, trends over long windows) of a table or a stream.
-
-    ``readings`` needs ``sensor``, ``zone``, ``event_time`` and the sensors' fields.
-    All requested sensors share one scan and one aggregation.
-    """
-    ours = readings.filter(F.col("sensor").isin([s.name for s in sensors]))
-
-    def windows(size, slide, delay):
-        if readings.isStreaming:
-            return stream_windows(ours, sensors, size, slide, delay)
-        return batch_windows(ours, sensors, size, slide)
-
-    return (
-        alerts(windows(*ALERT_WINDOW), sensors, min_count, grade),
-        trends(windows(*TREND_WINDOW), sensors),
-    )
+    """(alerts over short windows, trends over long windows) of a table or a stream."""
+    return alerts(readings, sensors, min_count, grade), trends(readings, sensors)

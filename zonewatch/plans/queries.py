@@ -25,21 +25,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 ALL = tuple(SENSORS)
 
 
-def rounded(column: Column) -> Column:
-    return F.round(column + F.lit(1e-9), 6)
-
-
 def outward(rows: DataFrame, *means: str) -> DataFrame:
     """Wall-clock times and rounded means."""
     shown = []
-    for field in rows.schema:
-        column = F.col(field.name)
-        if field.dataType.typeName() == "timestamp":
-            column = times.naive(column).alias(field.name)
-        elif field.name in means:
-            column = rounded(column).alias(field.name)
-        shown.append(column)
-    return rows.select(*shown)
+    for name, kind in rows.dtypes:
+        if kind == "timestamp":
+            shown.append(f"cast(`{name}` AS timestamp_ntz) AS `{name}`")
+        elif name in means:
+            shown.append(f"round(`{name}` + 1e-9D, 6) AS `{name}`")
+        else:
+            shown.append(f"`{name}`")
+    return rows.selectExpr(*shown)
 
 
 # -- windows, alerts, trends ------------------------------------------------------------------
@@ -47,12 +43,12 @@ def outward(rows: DataFrame, *means: str) -> DataFrame:
 
 def alerts_of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     sensors = chosen(names or ALL)
-    return windows.alert_pipeline(testbed.readings(spark, sf_dir, *names), sensors)[0]
+    return windows.alerts(testbed.readings(spark, sf_dir, *names), sensors)
 
 
 def trends_of(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     sensors = chosen(names or ALL)
-    return windows.alert_pipeline(testbed.readings(spark, sf_dir, *names), sensors)[1]
+    return windows.trends(testbed.readings(spark, sf_dir, *names), sensors)
 
 
 def sensor_alerts(name: str) -> Query:
@@ -327,7 +323,7 @@ def panel(build, name: str, back: str, fields: tuple[str, ...], *means: str) ->
 
 def active(spark, sf_dir) -> DataFrame:
     rows, now = testbed.recent(spark, sf_dir, "2 hours", *ALL)
-    found = points.alert_points(windows.alert_pipeline(rows, chosen(ALL))[0])
+    found = points.alert_points(windows.alerts(rows, chosen(ALL)))
     return dashboard.active_alerts(found, now)
 
 
@@ -454,7 +450,7 @@ def stream_alerts(name: str) -> Query:
 
     def query(spark, sf_dir):
         out = run_dir(spark, "stream")
-        found, _ = windows.alert_pipeline(stream_readings(spark, sf_dir, name), chosen((name,)))
+        found = windows.alerts(stream_readings(spark, sf_dir, name), chosen((name,)))
         writer = found.drop("sensor").writeStream.format("parquet").outputMode("append").trigger(**ONCE)
         jobs.drain(writer.option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").start())
         return outward(prepare(spark).read.parquet(f"{out}/rows"))
@@ -477,7 +473,7 @@ def stream_pipeline_points(spark, sf_dir):
 def stream_alert_log(spark, sf_dir):
     """Alert messages written as JSON text by the stream, parsed back."""
     out = run_dir(spark, "stream")
-    found, _ = windows.alert_pipeline(stream_readings(spark, sf_dir, "dechets"), chosen(("dechets",)))
+    found = windows.alerts(stream_readings(spark, sf_dir, "dechets"), chosen(("dechets",)))
     jobs.drain(sinks.alert_log(found, "text", {"path": f"{out}/log"}, f"{out}/state").trigger(**ONCE).start())
     return outward(ops.unpacked(prepare(spark).read.text(f"{out}/log")))
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.functions import bands, times
-from zonewatch.sensors import SENSORS, Sensor, by_sensor, chosen, wide_schema
+from zonewatch.functions import times
+from zonewatch.sensors import SENSORS, Sensor, case_by_sensor, chosen, quoted, wide_schema
 from zonewatch.session import prepare
 from zonewatch.settings import ZONES
 
@@ -48,34 +48,26 @@ def undense(time: Column) -> Column:
     return F.timestamp_micros(F.lit(EPOCH) + (F.unix_micros(time) - F.lit(EPOCH)) * SQUEEZE).cast("timestamp_ntz")
 
 
-def sensor_of_type(event_type: Column) -> Column:
-    chain = F.when(F.lit(False), F.lit(None).cast("string"))
-    for sensor, kind in EVENT_TYPES.items():
-        chain = chain.when(event_type == kind, sensor)
-    return chain
-
-
-def _fields(sensor: str) -> dict[str, Column]:
-    k, value = F.col("k"), F.col("value")
-    if sensor == "pollution":
-        return {"co2_ppm": 350 + 5 * value, "pm25": F.lit(0.8) * k, "air_quality_index": 5 * k}
-    if sensor == "traffic":
-        return {
-            "vehicles_per_min": k,
-            "avg_speed_kmh": F.least(value, F.lit(120.0)),
-            "congestion": bands.congestion(k),
-        }
-    if sensor == "eclairage":
-        # Rounded by floor, so that halves go the same way in every engine.
-        power = F.floor(F.least(value, F.lit(120.0)) / 2 + 0.5) / 100
-        status = F.when(F.col("event_id") % 20 == 0, "faulty").otherwise("working")
-        return {"luminosity_lux": k, "status": status, "power_kw": power}
-    fill = k + F.lit(0.5)
-    return {
-        "fill_percent": fill,
-        "weight_kg": F.floor(F.lit(12.0) * fill + 0.5) / 10,
-        "alert": bands.bin_full(fill),
-    }
+# The sensors' fields as SQL over (event_id, k, value). Numbers are rounded by floor, so that
+# halves go the same way in every engine.
+FIELDS = {
+    "pollution": {"co2_ppm": "350 + 5 * value", "pm25": "0.8D * k", "air_quality_index": "5 * k"},
+    "traffic": {
+        "vehicles_per_min": "k",
+        "avg_speed_kmh": "least(value, 120D)",
+        "congestion": "CASE WHEN k > 100 THEN 'critical' WHEN k > 70 THEN 'high' WHEN k > 40 THEN 'medium' ELSE 'low' END",
+    },
+    "eclairage": {
+        "luminosity_lux": "k",
+        "status": "CASE WHEN event_id % 20 = 0 THEN 'faulty' ELSE 'working' END",
+        "power_kw": "floor(least(value, 120D) / 2 + 0.5D) / 100",
+    },
+    "dechets": {
+        "fill_percent": "k + 0.5D",
+        "weight_kg": "floor(12D * (k + 0.5D) + 0.5D) / 10",
+        "alert": "CASE WHEN k + 0.5D > 90 THEN 'true' ELSE 'false' END",
+    },
+}
 
 
 def as_readings(source: DataFrame, sensors: tuple[Sensor, ...], clock: str = "dense") -> DataFrame:
@@ -84,33 +76,35 @@ def as_readings(source: DataFrame, sensors: tuple[Sensor, ...], clock: str = "de
     ``clock``: ``dense`` for windows, ``calendar`` for daily work. With one sensor only its own
     fields are there; with several, a field is null on the rows of other sensors.
     """
-    kinds = [EVENT_TYPES[s.name] for s in sensors]
+    kinds = {EVENT_TYPES[s.name]: s.name for s in sensors}
+    names = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{n}'" for k, n in kinds.items()) + " END"
     time = dense(F.col("ts")) if clock == "dense" else F.col("ts").cast("timestamp")
-    rows = (
-        source.filter(F.col("event_type").isin(kinds))
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("sensor", sensor_of_type(F.col("event_type")))
-        .withColumn("zone", zone_of(F.col("user_id")))
-        .withColumn("event_time", time)
+    rows = source.filter(F.col("event_type").isin(list(kinds))).select(
+        "event_id",
+        "value",
+        F.expr("cast(get_json_object(props, '$.k') AS int)").alias("k"),
+        F.expr(names).alias("sensor"),
+        zone_of(F.col("user_id")).alias("zone"),
+        time.alias("event_time"),
     )
-    if len(sensors) == 1:
-        schema, fields = sensors[0].schema, _fields(sensors[0].name)
-    else:
-        schema, fields = wide_schema(), {}
-        for sensor in sensors:
-            for name, column in _fields(sensor.name).items():
-                fields[name] = F.when(F.col("sensor") == sensor.name, column)
-    device = F.concat(by_sensor(lambda s: F.lit(s.device_prefix), sensors), F.lit("_"), F.col("zone"))
+    prefix = case_by_sensor(lambda s: f"'{s.device_prefix}'", sensors)
     base = {
-        "timestamp": times.message_text(F.col("event_time")),
-        "device_id": device,
-        "zone": F.col("zone"),
-        "type": F.col("sensor"),
+        "timestamp": f"date_format(event_time, {quoted(times.MESSAGE_FORMAT)})",
+        "device_id": f"concat({prefix}, '_', zone)",
+        "zone": "zone",
+        "type": "sensor",
     }
+    schema = sensors[0].schema if len(sensors) == 1 else wide_schema()
+    fields = {}
+    for sensor in sensors:
+        for name, text in FIELDS[sensor.name].items():
+            fields[name] = text if len(sensors) == 1 else f"CASE WHEN sensor = '{sensor.name}' THEN {text} END"
     typed = [
-        (base | fields)[f.name].cast(f.dataType).alias(f.name) for f in schema if f.name in base or f.name in fields
+        f"cast({(base | fields)[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in schema
+        if f.name in base or f.name in fields
     ]
-    return rows.select("event_id", "sensor", "event_time", *typed)
+    return rows.selectExpr("event_id", "sensor", "event_time", *typed)
 
 
 def readings(spark: SparkSession, sf_dir: str, *names: str, clock: str = "dense") -> DataFrame:
@@ -156,7 +150,3 @@ def messages(rows: DataFrame, sensor: Sensor) -> DataFrame:
     """Readings of one sensor as JSON bytes in ``value``."""
     body = F.to_json(F.struct(*sensor.schema.fieldNames())).cast("binary")
     return rows.select("event_id", "sensor", body.alias("value"))
-
-
-def all_sensors() -> tuple[Sensor, ...]:
-    return tuple(SENSORS.values())

@@ -16,8 +16,7 @@ PREFIX = ("timestamp", "device_id", "zone", "type")
 SERIES = ("measurement", "zone", "device_id", "field")
 
 
-def faulty() -> Column:
-    return F.when(F.col("status") == "faulty", 1).otherwise(0)
+FAULTY = "CASE WHEN status = 'faulty' THEN 1 ELSE 0 END"
 
 
 @dataclass(frozen=True)
@@ -154,15 +153,27 @@ def wide_schema(text: bool = False) -> StructType:
     return StructType(list(merged.values()))
 
 
-def by_sensor(choose, sensors: Iterable[Sensor], tag: str = "sensor") -> Column:
-    """``choose(sensor)`` for each row's own sensor; a plain expression when there is only one."""
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def case_by_sensor(choose, sensors: Iterable[Sensor]) -> str:
+    """SQL text of ``choose(sensor)`` for each row's own sensor; the bare text when there is only one."""
+    sensors = tuple(sensors)
+    if len(sensors) == 1:
+        return choose(sensors[0])
+    return "CASE sensor " + " ".join(f"WHEN '{s.name}' THEN {choose(s)}" for s in sensors) + " END"
+
+
+def by_sensor(choose, sensors: Iterable[Sensor]) -> Column:
+    """The same for columns."""
     sensors = tuple(sensors)
     if len(sensors) == 1:
         return choose(sensors[0])
-    chain = None
+    chain = F
     for sensor in sensors:
-        hit = F.col(tag) == sensor.name
-        chain = F.when(hit, choose(sensor)) if chain is None else chain.when(hit, choose(sensor))
+        chain = chain.when(F.col("sensor") == sensor.name, choose(sensor))
     return chain
 
 
