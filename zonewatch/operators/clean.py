@@ -24,19 +24,24 @@ def one_per_key(readings: DataFrame, keys, prefer) -> DataFrame:
     return readings.groupBy(*keys).agg(best).select(*keys, *[f"best.{c}" for c in rest])
 
 
-def split_rejects(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that can be stored, rows that cannot with their ``reject_reason``)."""
-    tagged = parse.with_calendar(readings).withColumn("reject_reason", parse.reject_reason())
-    good = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    bad = tagged.filter(F.col("reject_reason").isNotNull())
-    return good, bad.drop("event_time", "date_partition", "heure")
+def tagged(readings: DataFrame) -> DataFrame:
+    """Readings with day, hour and the reason for which they cannot be stored, null for good rows."""
+    return parse.with_calendar(readings).withColumn("reject_reason", parse.reject_reason())
+
+
+def rejects(tagged_rows: DataFrame) -> DataFrame:
+    bad = tagged_rows.filter(F.col("reject_reason").isNotNull())
+    return bad.drop("event_time", "date_partition", "heure")
+
+
+def without_rejects(tagged_rows: DataFrame, sensor: Sensor) -> DataFrame:
+    """Good keys and time, one row per key, and only then the test for required metrics."""
+    good = tagged_rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "event_time")
+    return one_per_key(good, ID_COLUMNS, sensor.required).dropna(how="any", subset=list(sensor.required))
 
 
 def clean(readings: DataFrame, sensor: Sensor) -> DataFrame:
-    """Storable rows: good keys and time, one row per key, required metrics present."""
-    good, _ = split_rejects(readings)
-    single = one_per_key(good.drop("event_time"), ID_COLUMNS, sensor.required)
-    return single.dropna(how="any", subset=list(sensor.required))
+    return without_rejects(tagged(readings), sensor)
 
 
 def new_rows(cleaned: DataFrame, stored: DataFrame | None, keys=ID_COLUMNS) -> DataFrame:

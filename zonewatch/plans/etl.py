@@ -25,6 +25,7 @@ LOG_SCHEMA = (
     "timestamp timestamp, sensor_type string, status string, rows_processed long, "
     "duration_seconds double, snapshot_status string"
 )
+DAY_SCHEMA = "date_partition date"
 
 
 @dataclass(frozen=True)
@@ -41,36 +42,52 @@ def _failure(err: Exception) -> str:
     return f"FAILED: {str(err)[:100]}"
 
 
-def load(raw: DataFrame, lake: str, sensor: Sensor) -> tuple[int, list]:
+def load(raw: DataFrame, lake: str, sensor: Sensor, owed=()) -> tuple[int, list]:
     """Clean raw rows and append the new ones. Returns (rows written, days touched).
 
-    The cleaned batch is staged as a table first: the raw JSON is parsed once, a lost
-    executor costs one stage, and the days of the batch come from the partition list.
+    Before anything is appended the batch's days, and those ``owed`` from a failed run, are noted.
+
+    The cleaned batch is staged as a table first, so the raw JSON is parsed once and a lost
+    executor costs one stage. Rejects need a second pass, taken only when there are any.
     """
     spark = raw.sparkSession
-    staged_path = f"{lake}/staging/{sensor.name}"
-    good, bad = clean.split_rejects(raw)
-    single = clean.one_per_key(good.drop("event_time"), ("timestamp", "device_id"), sensor.required)
-    cleaned = single.dropna(how="any", subset=list(sensor.required))
-    cleaned.write.mode("overwrite").partitionBy("date_partition").parquet(staged_path)
-    bad.write.mode("overwrite").parquet(f"{lake}/rejects/{sensor.name}")
-
-    staged = spark.read.schema(tables.processed_schema(sensor)).parquet(staged_path)
-    # One value per day partition of the batch, no more than the partition list the driver holds anyway.
-    days = [r[0] for r in staged.select("date_partition").distinct().collect()]
-    stored = tables.processed(spark, lake, sensor.name)
-    known = clean.on_days(stored, days) if stored is not None else None
-    fresh = clean.new_rows(staged, known)
+    staged_path, processed_path = f"{lake}/staging/{sensor.name}", f"{lake}/processed/{sensor.name}"
+    rejects, days, rows = (Observation(f"{what}_{sensor.name}") for what in ("rejects", "days", "rows"))
 
-    seen = Observation(f"load_{sensor.name}")
-    path = f"{lake}/processed/{sensor.name}"
+    tagged = clean.tagged(raw).observe(rejects, F.count("reject_reason").alias("n"))
+    cleaned = clean.without_rejects(tagged, sensor).observe(days, F.collect_set("date_partition").alias("days"))
+    _replace(cleaned, staged_path)
+    bad = clean.rejects(clean.tagged(raw))
+    _replace(bad if rejects.get["n"] else bad.limit(0), f"{lake}/rejects/{sensor.name}")
+
+    staged = spark.read.schema(cleaned.schema).parquet(staged_path)
+    stored = tables.processed(spark, lake, sensor.name)
+    # A day per partition of the batch: no more than the partition list the driver holds anyway.
+    batch_days = sorted(days.get["days"])
+    known = clean.on_days(stored, batch_days) if stored is not None else None
+    _mark(spark, lake, sensor.name, sorted({*batch_days, *owed}))
     # The rebalance splits a large day and zone over several tasks and joins small ones, so neither
     # a hot zone nor thousands of tiny files come out.
-    ordered = fresh.hint("rebalance", *[F.col(c) for c in daily.DAY_KEYS])
+    fresh = clean.new_rows(staged, known).hint("rebalance", *[F.col(c) for c in daily.DAY_KEYS])
     # Observed after the last shuffle, where a repeated task is counted once.
-    watched = ordered.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("date_partition").alias("days"))
-    watched.write.mode("append").partitionBy(*daily.DAY_KEYS).parquet(path)
-    return int(seen.get["rows"]), sorted(seen.get["days"])
+    watched = fresh.observe(rows, F.count(F.lit(1)).alias("n"), F.collect_set("date_partition").alias("days"))
+    watched.write.mode("append").partitionBy(*daily.DAY_KEYS).parquet(processed_path)
+    return int(rows.get["n"]), sorted(rows.get["days"])
+
+
+def _replace(table: DataFrame, path: str) -> None:
+    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _mark(spark: SparkSession, lake: str, name: str, days) -> None:
+    """Note the days whose aggregates are about to be out of date; none once they are rebuilt."""
+    _replace(spark.createDataFrame([(d,) for d in days], DAY_SCHEMA).coalesce(1), f"{lake}/pending/{name}")
+
+
+def pending_days(spark: SparkSession, lake: str, name: str) -> list:
+    """Days that an earlier run appended to but did not aggregate, because it failed or was lost."""
+    noted = tables.table(spark, f"{lake}/pending/{name}")
+    return [] if noted is None else [row[0] for row in noted.collect()]
 
 
 def refresh_snapshot(spark: SparkSession, lake: str, name: str, days=None) -> None:
@@ -88,6 +105,24 @@ def refresh_snapshot(spark: SparkSession, lake: str, name: str, days=None) -> No
     )
 
 
+def _load_and_refresh(raw: DataFrame, lake: str, sensor: Sensor) -> tuple[int, str | None]:
+    """Load, then rebuild the touched days. Returns (rows, snapshot status)."""
+    spark = raw.sparkSession
+    owed = pending_days(spark, lake, sensor.name)
+    rows, days = load(raw, lake, sensor, owed)
+    stale = sorted(set(days) | set(owed))
+    status = None
+    if stale:
+        try:
+            refresh_snapshot(spark, lake, sensor.name, stale)
+            status = SUCCESS
+        except Exception as err:  # noqa: BLE001 - the load itself stands, the days stay marked
+            _mark(spark, lake, sensor.name, stale)
+            return rows, _failure(err)
+    _mark(spark, lake, sensor.name, [])
+    return rows, status
+
+
 def run_sensor(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor) -> Run:
     """Load one sensor. Failures are reported in the run, so the other sensors still load."""
     begun, status, rows, snapshot = time.monotonic(), SUCCESS, 0, None
@@ -96,13 +131,7 @@ def run_sensor(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor) ->
         if raw is None:
             status = NO_DATA
         else:
-            rows, days = load(raw, lake, sensor)
-            if rows:
-                snapshot = SUCCESS
-                try:
-                    refresh_snapshot(spark, lake, sensor.name, days)
-                except Exception as err:  # noqa: BLE001 - the load itself stands
-                    snapshot = _failure(err)
+            rows, snapshot = _load_and_refresh(raw, lake, sensor)
     except Exception as err:  # noqa: BLE001
         status = _failure(err)
     seconds = round(time.monotonic() - begun, 2)
@@ -129,9 +158,7 @@ def load_new_files(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor
     prepare(spark)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        rows, days = load(batch, lake, sensor)
-        if rows:
-            refresh_snapshot(batch.sparkSession, lake, sensor.name, days)
+        _load_and_refresh(batch, lake, sensor)
 
     stream = spark.readStream.schema(sensor.schema).json(tables.raw_path(raw_root, sensor.name))
     query = (

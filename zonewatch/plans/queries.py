@@ -141,7 +141,8 @@ def rejected_readings(spark, sf_dir):
             "zone": F.when(way != 4, F.col("zone")),
         }
     )
-    return clean.split_rejects(spoiled)[1].select("event_id", "timestamp", "device_id", "zone", "reject_reason")
+    found = clean.rejects(clean.tagged(spoiled))
+    return found.select("event_id", "timestamp", "device_id", "zone", "reject_reason")
 
 
 def cleaned(spark, sf_dir, name: str) -> DataFrame:
