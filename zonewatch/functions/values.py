@@ -9,15 +9,17 @@ UNKNOWN = "unknown"
 
 
 def number(value: Column) -> Column:
-    """Finite double from text or number; JSON ``true``/``false`` count as 1/0."""
-    text = F.lower(F.trim(value.cast("string")))
-    # Spark's own cast also takes Java suffixes such as "5d", which are not numbers in a message.
-    plain = ~(text.endswith("d") | text.endswith("f"))
-    parsed = F.when(plain, text.try_cast("double"))
+    """Double from text; JSON ``true``/``false`` count as 1/0, anything else that is no number is null.
+
+    A number ends in a digit, a point or a blank, all below the letters. That leaves out ``NaN``,
+    ``Infinity`` and the ``5d`` form that a cast would take.
+    """
+    text = value.cast("string")
+    word = F.lower(F.trim(text))
     return (
-        F.when(text == "true", F.lit(1.0))
-        .when(text == "false", F.lit(0.0))
-        .when(F.abs(parsed) < F.lit(float("inf")), parsed)
+        F.when(F.ascii(F.right(text, F.lit(1))) < ord("A"), text.try_cast("double"))
+        .when(word == "true", F.lit(1.0))
+        .when(word == "false", F.lit(0.0))
     )
 
 
@@ -28,11 +30,3 @@ def flag(value: Column, expected: str) -> Column:
 
 def tag(value: Column) -> Column:
     return F.coalesce(value, F.lit(UNKNOWN))
-
-
-def any_null(names) -> Column:
-    """True when at least one of the columns is null."""
-    hit = F.lit(False)
-    for name in names:
-        hit = hit | F.col(name).isNull()
-    return hit

@@ -12,11 +12,14 @@ CORRUPT = "_corrupt_record"
 
 
 def decode(messages: DataFrame, sensor: Sensor, strict_time: bool = False) -> DataFrame:
-    """Typed readings of one sensor from a binary or text ``value``; bad JSON gives null fields."""
+    """Typed readings of one sensor from a binary or text ``value``; bad JSON gives null fields.
+
+    The parsed struct leaves through a generator. Later filters on its fields stop there; pushed
+    below the parse they would parse every message once more.
+    """
     body = F.from_json(F.col("value").cast("string"), sensor.schema)
     return (
-        messages.select(body.alias("d"))
-        .select("d.*")
+        messages.select(F.inline(F.array(body)))
         .withColumn("sensor", F.lit(sensor.name))
         .withColumn("event_time", times.event_time(F.col("timestamp"), strict_time))
     )
@@ -26,17 +29,20 @@ def decode_any(
     messages: DataFrame, sensor: Column, text: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Readings of mixed sensors in one pass over the wide schema. ``sensor`` names each row's kind;
-    rows without a kind and payloads that are not objects are left out."""
+    rows without a kind and payloads that are not objects are left out. With ``text`` all fields stay
+    text, and broken JSON is left out as well."""
     value = F.col("value").cast("string")
-    schema = wide_schema(text).add(CORRUPT, "string")
-    body = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})
-    rows = messages.select(*keep, sensor.alias("sensor"), F.when(F.ltrim(value).startswith("{"), body).alias("d"))
-    rows = rows.filter(F.col("sensor").isNotNull() & F.col("d").isNotNull())
-    if text:
-        # All fields are text here, so only broken JSON can be corrupt.
-        return rows.filter(F.col(f"d.{CORRUPT}").isNull()).select(*keep, "sensor", "d.*").drop(CORRUPT)
-    typed = rows.select(*keep, "sensor", "d.*").drop(CORRUPT)
-    return typed.withColumn("event_time", times.event_time(F.col("timestamp")))
+    ours = messages.select(*keep, sensor.alias("sensor"), value.alias("value")).filter(
+        F.col("sensor").isNotNull() & F.ltrim("value").startswith("{")
+    )
+    if not text:
+        body = F.array(F.from_json("value", wide_schema()))
+        rows = ours.select(*keep, "sensor", F.inline(body))
+        return rows.withColumn("event_time", times.event_time(F.col("timestamp")))
+    schema = wide_schema(text=True).add(CORRUPT, "string")
+    body = F.array(F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
+    whole = F.filter(body, lambda d: d[CORRUPT].isNull())
+    return ours.select(*keep, "sensor", F.inline(whole)).drop(CORRUPT)
 
 
 def with_calendar(readings: DataFrame) -> DataFrame:

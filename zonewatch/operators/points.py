@@ -21,6 +21,11 @@ def _value(readings: DataFrame, field: str, source: str) -> Column:
     return values.number(F.col(source))
 
 
+def _usable() -> Column:
+    """Finite and not null."""
+    return F.abs("value") < float("inf")
+
+
 def reading_points(
     readings: DataFrame,
     sensors: tuple[Sensor, ...],
@@ -50,7 +55,7 @@ def reading_points(
         single = readings.select(
             *tags, F.lit(field).alias("field"), _value(readings, field, source).alias("value"), time.alias("time")
         )
-        return single.filter(F.col("value").isNotNull())
+        return single.filter(_usable())
 
     def entries(sensor: Sensor) -> Column:
         return F.array(
@@ -62,7 +67,7 @@ def reading_points(
 
     used = tuple(s for s in sensors if wanted(s))
     long = readings.select(*tags, F.explode(by_sensor(entries, used)).alias("p"), time.alias("time"))
-    return long.select(*SERIES[:3], "p.field", "p.value", "time").filter(F.col("value").isNotNull())
+    return long.select(*SERIES[:3], "p.field", "p.value", "time").filter(_usable())
 
 
 def alert_points(rows: DataFrame) -> DataFrame:

@@ -80,11 +80,16 @@ def rule_attribution(spark, sf_dir):
 # -- parsing and cleaning ---------------------------------------------------------------------
 
 
+def sent(body: Column) -> Column:
+    """A message text as it would come from a source: made once, whatever is filtered on it later."""
+    return F.explode(F.array(body)).alias("value")
+
+
 def topic_messages(spark, sf_dir) -> DataFrame:
     """All readings as messages on their topics, and other events on a topic nobody reads."""
     rows = testbed.readings(spark, sf_dir)
     body = F.to_json(F.struct(*wide_schema().fieldNames()))
-    ours = rows.select("event_id", F.concat(F.lit(f"{TOPIC_PREFIX}-"), F.col("sensor")).alias("topic"), body.alias("value"))
+    ours = rows.select("event_id", F.concat(F.lit(f"{TOPIC_PREFIX}-"), F.col("sensor")).alias("topic"), sent(body))
     others = testbed.events(spark, sf_dir).filter(F.col("event_type") == "signup")
     return ours.unionByName(others.select("event_id", F.lit("other").alias("topic"), F.col("props").alias("value")))
 
@@ -99,8 +104,8 @@ def sensor_messages(name: str) -> Query:
 
     def query(spark, sf_dir):
         sensor = SENSORS[name]
-        sent = testbed.messages(testbed.readings(spark, sf_dir, name), sensor)
-        return outward(parse.decode(sent, sensor).drop("sensor"))
+        messages = testbed.messages(testbed.readings(spark, sf_dir, name), sensor)
+        return outward(parse.decode(messages, sensor).drop("sensor"))
 
     return query
 
@@ -168,8 +173,8 @@ def land_raw(spark: SparkSession, sf_dir: str, names=ALL) -> str:
     for name in names:
         sensor = SENSORS[name]
         rows = testbed.with_gaps(testbed.readings(spark, sf_dir, name, clock="calendar"), sensor)
-        sent = testbed.messages(rows, sensor).select(F.col("value").cast("string").alias("value"))
-        sent.write.text(f"{root}/{name}")
+        body = F.col("value").cast("string").alias("value")
+        testbed.messages(rows, sensor).select(body).write.text(f"{root}/{name}")
     return root
 
 
@@ -300,7 +305,7 @@ def untidy_messages(spark, sf_dir) -> DataFrame:
     fields["status"] = F.when(way == 5, F.lit(None).cast("string")).otherwise(F.upper("status"))
     body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
     value = F.when(F.col("event_id") % 23 == 0, "[1]").when(F.col("event_id") % 29 == 0, "{bad").otherwise(body)
-    return rows.select("event_id", "sensor", value.alias("value"), F.col("event_time").alias("arrival"))
+    return rows.select("event_id", "sensor", sent(value), F.col("event_time").alias("arrival"))
 
 
 def points_lenient(spark, sf_dir):
@@ -356,7 +361,7 @@ def congestion_check(spark, sf_dir):
         bands.is_night(hour).alias("nuit"),
         bands.pollution_rush(hour).alias("pointe"),
         bands.traffic_factor(hour).alias("facteur"),
-    ).agg(F.count(F.lit(1)).alias("nb"), F.count_if(~F.col("band").eqNullSafe(F.col("congestion"))).alias("nb_ecarts"))
+    ).agg(F.count(F.lit(1)).alias("nb"), F.count_if(F.col("band") != F.col("congestion")).alias("nb_ecarts"))
 
 
 def bin_check(spark, sf_dir):
@@ -523,9 +528,9 @@ def stream_bridge(spark, sf_dir):
         batch.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(f"{out}/topics/batch={batch_id}")
 
     jobs.drain(jobs.device_bridge(source, publish, f"{out}/letters", f"{out}/state", trigger=ONCE))
-    sent = prepare(spark).read.text(f"{out}/topics")
+    published = prepare(spark).read.text(f"{out}/topics")
     letters = spark.read.parquet(f"{out}/letters")
-    counted = sent.groupBy("topic").agg(F.count(F.lit(1)).alias("nb"))
+    counted = published.groupBy("topic").agg(F.count(F.lit(1)).alias("nb"))
     return counted.unionByName(letters.agg(F.count(F.lit(1)).alias("nb")).select(F.lit("none").alias("topic"), "nb"))
 
 
@@ -534,8 +539,8 @@ def stream_landing(spark, sf_dir):
     out = run_dir(spark, "stream")
     rows = stream_readings(spark, sf_dir, *ALL)
     body = F.to_json(F.struct(*wide_schema().fieldNames()))
-    sent = rows.select("sensor", body.alias("value"))
-    jobs.drain(sinks.raw_landing(sent, f"{out}/raw", f"{out}/state").trigger(**ONCE).start())
+    messages = rows.select("sensor", body.alias("value"))
+    jobs.drain(sinks.raw_landing(messages, f"{out}/raw", f"{out}/state").trigger(**ONCE).start())
     return etl.tables.raw_readings(prepare(spark), f"{out}/raw", SENSORS["dechets"])
 
 
