@@ -20,58 +20,66 @@ from zonewatch.settings import ALERT_WINDOW, GREEN, TREND, TREND_WINDOW
 KEYS = ("sensor", "zone")
 
 
-def _sources(sensors) -> dict[str, str]:
-    return {metric: field for sensor in sensors for metric, field in sensor.averages.items()}
+def _slots(sensors) -> list[str]:
+    """The sensors' averaged fields laid over each other: slot 0 holds each sensor's first field,
+    and so on. Mixed sensors then need as many running sums as the widest one, not as all together."""
+
+    def field(sensor: Sensor, place: int) -> str:
+        fields = list(sensor.averages.values())
+        return f"double({fields[place]})" if place < len(fields) else "double(NULL)"
+
+    width = max(len(s.averages) for s in sensors)
+    return [case_by_sensor(lambda s, i=i: field(s, i), sensors) for i in range(width)]
 
 
 def _faults(sensors) -> list[str]:
     """Fault counter, null for sensors that do not report faults; none if no sensor does."""
-    counting = [s.name for s in sensors if s.counts_faults]
-    if not counting:
+    if not any(s.counts_faults for s in sensors):
         return []
-    if len(counting) == len(sensors):
-        return [f"sum({FAULTY}) AS nb_faulty"]
-    names = ", ".join(f"'{n}'" for n in counting)
-    return [f"sum(CASE WHEN sensor IN ({names}) THEN {FAULTY} END) AS nb_faulty"]
+    faults = case_by_sensor(lambda s: FAULTY if s.counts_faults else "CAST(NULL AS INT)", sensors)
+    return [f"sum({faults}) AS nb_faulty"]
 
 
-def _settled(mean: str, metric: str) -> str:
-    return f"round({mean}, {GRADING_PLACES}) AS {metric}"
+def _named(rows: DataFrame, sensors, start: str, end: str) -> DataFrame:
+    """Slots back under the sensors' own metric names, rounded; a metric is null on other sensors' rows."""
+    metrics = []
+    for sensor in sensors:
+        for place, metric in enumerate(sensor.averages):
+            mean = f"round(m{place}, {GRADING_PLACES})"
+            if len(sensors) > 1:
+                mean = f"CASE WHEN sensor = '{sensor.name}' THEN {mean} END"
+            metrics.append(f"{mean} AS {metric}")
+    faults = ["nb_faulty"] if "nb_faulty" in rows.columns else []
+    return rows.selectExpr(f"{start} AS window_start", f"{end} AS window_end", *KEYS, "nb_mesures", *metrics, *faults)
 
 
 def _grouped(rows: DataFrame, window, totals: list[str]) -> DataFrame:
     return rows.groupBy(window, *KEYS).agg(*[F.expr(t) for t in totals])
 
 
-def _flat(windows: DataFrame) -> DataFrame:
-    rest = [c for c in windows.columns if c != "window"]
-    return windows.selectExpr("window.start AS window_start", "window.end AS window_end", *rest)
-
-
 def batch_windows(readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str) -> DataFrame:
     """Windows over a bounded table: panes first, then windows over panes."""
-    sources, faults = _sources(sensors), _faults(sensors)
-    partials = ["count(1) AS n"]
-    for metric, field in sources.items():
-        partials += [f"sum(double({field})) AS s_{metric}", f"count({field}) AS n_{metric}"]
-    panes = _grouped(readings, F.window("event_time", slide).alias("pane"), partials + faults)
+    slots, faults = _slots(sensors), _faults(sensors)
+    pane = F.window("event_time", slide).start.alias("pane_start")
+    sums = [f"sum({field}) AS s{i}" for i, field in enumerate(slots)]
+    counts = [f"count({field}) AS n{i}" for i, field in enumerate(slots)]
+    panes = _grouped(readings, pane, ["count(1) AS n", *sums, *counts, *faults])
 
-    totals = ["sum(n) AS nb_mesures"]
-    totals += [_settled(f"try_divide(sum(s_{m}), sum(n_{m}))", m) for m in sources]
-    if faults:
-        totals.append("sum(nb_faulty) AS nb_faulty")
-    starts = panes.withColumn("pane_start", F.col("pane.start"))
-    return _flat(_grouped(starts, F.window("pane_start", size, slide), totals))
+    means = [f"try_divide(sum(s{i}), sum(n{i})) AS m{i}" for i in range(len(slots))]
+    again = ["sum(nb_faulty) AS nb_faulty"] if faults else []
+    windows = _grouped(panes, F.window("pane_start", size, slide), ["sum(n) AS nb_mesures", *means, *again])
+    return _named(windows, sensors, "window.start", "window.end")
 
 
 def stream_windows(
     readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str, delay: str
 ) -> DataFrame:
     """Windows over a stream, emitted once each after the watermark passes their end."""
-    totals = ["count(1) AS nb_mesures"]
-    totals += [_settled(f"avg({field})", metric) for metric, field in _sources(sensors).items()]
+    means = [f"avg({field}) AS m{i}" for i, field in enumerate(_slots(sensors))]
     marked = readings.withWatermark("event_time", delay)
-    return _flat(_grouped(marked, F.window("event_time", size, slide), totals + _faults(sensors)))
+    totals = ["count(1) AS nb_mesures", *means, *_faults(sensors)]
+    windows = _grouped(marked, F.window("event_time", size, slide), totals)
+    return _named(windows, sensors, "window.start", "window.end")
 
 
 def zone_windows(readings: DataFrame, sensors: tuple[Sensor, ...], size: str, slide: str, delay: str) -> DataFrame:
