@@ -21,11 +21,6 @@ def _value(readings: DataFrame, field: str, source: str) -> Column:
     return values.number(F.col(source))
 
 
-def _usable() -> Column:
-    """Finite and not null."""
-    return F.abs("value") < float("inf")
-
-
 def reading_points(
     readings: DataFrame,
     sensors: tuple[Sensor, ...],
@@ -35,39 +30,38 @@ def reading_points(
     """Points of the sensors' readings, optionally of some fields only.
 
     Fields that are missing or no number give no point; the two flags always give one.
-    A missing or unreadable time becomes the arrival time.
+    A missing or unreadable time becomes the arrival time. Each sensor's fields are laid into
+    as many value slots as the widest sensor has, and only those slots are unpivoted.
     """
-    readings = readings.filter(F.col("sensor").isin([s.name for s in sensors]))
     arrival = F.current_timestamp() if arrival is None else arrival
     known = "event_time" in readings.columns
     time = F.coalesce(F.col("event_time"), arrival) if known else times.time_or(F.col("timestamp"), arrival)
+    chosen = {
+        s: [(f, src) for f, src in s.point_fields.items() if fields is None or f in fields] for s in sensors
+    }
+    used = tuple(s for s in sensors if chosen[s])
+    slots = [f"v{i}" for i in range(max(len(chosen[s]) for s in used))]
 
-    def wanted(sensor: Sensor):
-        return [(f, src) for f, src in sensor.point_fields.items() if fields is None or f in fields]
+    def value(sensor: Sensor, place: int) -> Column:
+        wanted = chosen[sensor]
+        return _value(readings, *wanted[place]) if place < len(wanted) else F.lit(None).cast("double")
 
-    tags = [
+    tagged = readings.filter(F.col("sensor").isin([s.name for s in used])).select(
         F.col("sensor").alias("measurement"),
         values.tag(F.col("zone")).alias("zone"),
         values.tag(F.col("device_id")).alias("device_id"),
-    ]
-    if len(sensors) == 1 and len(wanted(sensors[0])) == 1:
-        field, source = wanted(sensors[0])[0]
-        single = readings.select(
-            *tags, F.lit(field).alias("field"), _value(readings, field, source).alias("value"), time.alias("time")
-        )
-        return single.filter(_usable())
-
-    def entries(sensor: Sensor) -> Column:
-        return F.array(
-            *[
-                F.struct(F.lit(f).alias("field"), _value(readings, f, src).alias("value"))
-                for f, src in wanted(sensor)
-            ]
-        )
-
-    used = tuple(s for s in sensors if wanted(s))
-    long = readings.select(*tags, F.explode(by_sensor(entries, used)).alias("p"), time.alias("time"))
-    return long.select(*SERIES[:3], "p.field", "p.value", "time").filter(_usable())
+        time.alias("time"),
+        *[by_sensor(lambda s, i=i: value(s, i), used).alias(slot) for i, slot in enumerate(slots)],
+    )
+    names = " ".join(
+        f"WHEN measurement = '{s.name}' AND slot = 'v{i}' THEN '{field}'"
+        for s in used
+        for i, (field, _) in enumerate(chosen[s])
+    )
+    long = tagged.unpivot([*SERIES[:3], "time"], slots, "slot", "value")
+    # The comparison also drops nulls.
+    finite = long.filter(F.abs("value") < float("inf"))
+    return finite.selectExpr(*SERIES[:3], f"CASE {names} END AS field", "value", "time")
 
 
 def alert_points(rows: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ SERIES = ("measurement", "zone", "device_id", "field")
 FAULTY = "CASE WHEN status = 'faulty' THEN 1 ELSE 0 END"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Sensor:
     """One sensor kind. ``averages`` maps a window metric to the reading field it averages."""
 
