@@ -57,7 +57,12 @@ def alert_messages(spark: SparkSession, servers: str, prefix: str = settings.TOP
 
 
 def hub_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Device-hub events over its Kafka endpoint: body plus the hub's device id header."""
-    stream = messages(spark, "kafka", kafka_options(servers, topic, includeHeaders="true"))
+    """Device-hub events over its Kafka endpoint: body plus the hub's device id."""
+    return hub_device(messages(spark, "kafka", kafka_options(servers, topic, includeHeaders="true")))
+
+
+def hub_device(events: DataFrame) -> DataFrame:
+    """``value`` and ``hub_device_id``, taken from the message headers; null when there is none."""
     header = F.filter("headers", lambda h: h["key"] == HUB_DEVICE_HEADER)
-    return stream.select("value", F.try_element_at(header, F.lit(1))["value"].cast("string").alias("hub_device_id"))
+    device = F.try_element_at(header, F.lit(1))["value"].cast("string")
+    return events.select("value", device.alias("hub_device_id"))
