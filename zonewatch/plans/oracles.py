@@ -177,14 +177,15 @@ def clean_rows(sensor: str, where: str = "") -> str:
 FROM kept {where}"""
 
 
-HISTORY = f"""{READINGS},
-ranking AS (SELECT zone, avg(air_quality_index) AS avg_aqi, avg(co2_ppm) AS avg_co2, avg(pm25) AS avg_pm25
-  FROM pollution GROUP BY zone),
+def history(pollution: str = "pollution", traffic: str = "traffic") -> str:
+    """Report tables over the named readings, as further parts of a WITH clause."""
+    return f"""ranking AS (SELECT zone, avg(air_quality_index) AS avg_aqi, avg(co2_ppm) AS avg_co2, avg(pm25) AS avg_pm25
+  FROM {pollution} GROUP BY zone),
 profile AS (SELECT CAST(hour(ts) AS INTEGER) AS heure, avg(vehicles_per_min) AS avg_vehicles,
-    avg(avg_speed_kmh) AS avg_speed FROM traffic GROUP BY ALL),
+    avg(avg_speed_kmh) AS avg_speed FROM {traffic} GROUP BY ALL),
 paired AS (SELECT * FROM
-  (SELECT CAST(ts AS DATE) AS date_partition, zone, avg(air_quality_index) AS avg_aqi FROM pollution GROUP BY ALL)
-  JOIN (SELECT CAST(ts AS DATE) AS date_partition, zone, avg(vehicles_per_min) AS avg_vehicles FROM traffic GROUP BY ALL)
+  (SELECT CAST(ts AS DATE) AS date_partition, zone, avg(air_quality_index) AS avg_aqi FROM {pollution} GROUP BY ALL)
+  JOIN (SELECT CAST(ts AS DATE) AS date_partition, zone, avg(vehicles_per_min) AS avg_vehicles FROM {traffic} GROUP BY ALL)
   USING (date_partition, zone)),
 linked AS (SELECT CASE WHEN isfinite(c) THEN c END AS c FROM (SELECT corr(avg_vehicles, avg_aqi) AS c FROM paired)),
 facts AS (
@@ -197,6 +198,9 @@ facts AS (
   UNION ALL SELECT 'traffic_pollution_corr', NULL, c FROM linked WHERE c IS NOT NULL)"""
 
 
+HISTORY = f"{READINGS},\n{history()}"
+
+
 def rounded(column: str, alias: str | None = None) -> str:
     return f"round({column} + CAST(1e-9 AS DOUBLE), 6) AS {alias or column}"
 
@@ -432,7 +436,7 @@ SELECT event_id, CASE event_id % 7 WHEN 3 THEN 'bad' WHEN 1 THEN NULL WHEN 4 THE
   CASE event_id % 7 WHEN 4 THEN 'unreadable' WHEN 2 THEN 'no_device' WHEN 1 THEN 'no_time' ELSE 'bad_time' END AS reject_reason
 FROM pollution WHERE event_id % 7 IN (1, 2, 3, 4)"""
     sql["incremental_ingest"] = f"""{READINGS},\nkept AS ({cleaned("pollution")}),
-known AS (SELECT DISTINCT ts, device_id FROM pollution WHERE event_id % 2 = 0)
+known AS (SELECT DISTINCT ts, device_id FROM pollution WHERE ts < TIMESTAMP '2024-01-16 00:00:00')
 {clean_rows("pollution", "WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.ts = kept.ts AND known.device_id = kept.device_id)")}"""
     sql["pollution_by_zone"] = f"""{HISTORY}
 SELECT zone, {rounded("avg_aqi")}, {rounded("avg_co2")}, {rounded("avg_pm25")} FROM ranking"""
@@ -447,6 +451,9 @@ FROM facts w, facts b WHERE w.fact = 'worst_zone' AND b.fact = 'best_zone'"""
 SELECT date_partition, zone, {rounded("avg_aqi")}, {rounded("avg_vehicles")} FROM paired"""
     sql["traffic_pollution_corr"] = f"{HISTORY}\nSELECT {rounded('c', 'traffic_pollution_corr')} FROM linked"
     sql["report_facts"] = f'{HISTORY}\nSELECT fact, subject, {rounded(chr(34) + "value" + chr(34))} FROM facts'
+    sql["report_from_lake"] = f"""{READINGS}, kept_p AS ({cleaned("pollution")}), kept_t AS ({cleaned("traffic")}),
+{history("kept_p", "kept_t")}
+SELECT fact, subject, {rounded('"value"')} FROM facts"""
     sql["report_recommendations"] = f"""{HISTORY}
 SELECT CASE fact WHEN 'worst_zone' THEN 'monitor_zone' WHEN 'peak_hour' THEN 'adapt_signals' ELSE 'cross_peaks' END AS action,
   subject FROM facts WHERE fact <> 'best_zone'"""

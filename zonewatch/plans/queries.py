@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zonewatch.functions import bands, routing, times
 from zonewatch.operators import alerts as ops
 from zonewatch.operators import bridge, clean, daily, dashboard, history, parse, points, windows
-from zonewatch.plans import etl, testbed
+from zonewatch.plans import etl, report, testbed
 from zonewatch.sensors import SENSORS, chosen, wide_schema
 from zonewatch.session import prepare, run_dir
 from zonewatch.settings import TOPIC_PREFIX
@@ -160,7 +160,8 @@ def clean_readings(name: str) -> Query:
 
 
 def incremental_ingest(spark, sf_dir):
-    known = testbed.readings(spark, sf_dir, "pollution", clock="calendar").filter(F.col("event_id") % 2 == 0)
+    """All readings against a stored history that reaches to the middle of the month."""
+    known = testbed.stored(spark, sf_dir, "pollution").filter(F.col("date_partition") < F.lit("2024-01-16"))
     return clean.new_rows(cleaned(spark, sf_dir, "pollution"), known).drop("sensor")
 
 
@@ -274,6 +275,14 @@ def report_recommendations(spark, sf_dir):
     return history.recommendations(facts(spark, sf_dir))
 
 
+def report_from_lake(spark, sf_dir):
+    """Raw files through the batch load into the report, whose summaries are stored and read back."""
+    names = ("pollution", "traffic")
+    raw, lake = land_raw(prepare(spark), sf_dir, names), run_dir(spark, "lake")
+    etl.run_all(spark, raw, lake, names)
+    return outward(report.build(spark, lake).facts, "value")
+
+
 # -- points and dashboards --------------------------------------------------------------------
 
 
@@ -447,7 +456,7 @@ ONCE = {"availableNow": True}
 
 
 def stream_readings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    own = jobs.stream_session(spark)
+    own = jobs.stream_session(spark, backfill=True)
     return testbed.as_readings(testbed.event_stream(own, sf_dir), chosen(names))
 
 
@@ -495,7 +504,7 @@ def stream_points(spark, sf_dir):
 def published_alerts(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
     """A stream of alert records over messages published by the batch pipeline."""
     ops.packed(records_of(spark, sf_dir)).write.text(f"{out}/topic")
-    own = jobs.stream_session(spark)
+    own = jobs.stream_session(spark, backfill=True)
     return ops.unpacked(own.readStream.text(f"{out}/topic"))
 
 
@@ -522,7 +531,7 @@ def stream_incidents(spark, sf_dir):
 def stream_bridge(spark, sf_dir):
     """Device events through the bridge into topic folders; messages per topic."""
     out = run_dir(spark, "stream")
-    source = hub_rows(testbed.event_stream(jobs.stream_session(spark), sf_dir))
+    source = hub_rows(testbed.event_stream(jobs.stream_session(spark, backfill=True), sf_dir))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(f"{out}/topics/batch={batch_id}")
@@ -566,6 +575,7 @@ def registry() -> dict[str, Query]:
         topic_readings, event_times, rejected_readings, incremental_ingest, etl_processed, run_log,
         pollution_by_zone, zone_extremes, traffic_by_hour, peak_hour, hour_table_head,
         traffic_pollution_daily, traffic_pollution_corr, report_facts, report_recommendations,
+        report_from_lake,
         points_long, points_lenient, points_pivot, threshold_bands, congestion_check, bin_check,
         dash_active_alerts, dash_active_alerts_top50, device_routing, dead_letters,
         routed_alerts, notification_outbox, alert_display, alert_counts, alert_latency,

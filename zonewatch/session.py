@@ -36,12 +36,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Shuffle width for a stateful query.
+GROUPS_PER_STATE_PARTITION = 50_000
 
-    It is fixed for the life of a checkpoint and every partition commits a state
-    store per micro-batch, so it follows the cores at hand and never exceeds the
-    width configured for batch work. The grouped keys are few (windows x zones).
+
+def state_partitions(spark: SparkSession, zones: int, backfill: bool = False) -> int:
+    """Shuffle width for a stateful query over ``zones`` zones.
+
+    It is fixed for the life of a checkpoint, and every partition commits a state store per
+    micro-batch. What is shuffled are partial aggregates, so the width of a live stream follows the
+    number of open groups (zones x sensors x windows under the watermark), not the readings.
+    A backfill takes a whole history in one micro-batch and uses all cores instead.
     """
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(configured, spark.sparkContext.defaultParallelism))
+    if backfill:
+        return max(1, min(configured, spark.sparkContext.defaultParallelism))
+    open_groups = zones * 4 * 10
+    return max(1, min(configured, max(2, -(-open_groups // GROUPS_PER_STATE_PARTITION))))

@@ -14,11 +14,18 @@ from zonewatch.session import prepare, state_partitions
 from zonewatch.streaming import sinks
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session of its own for stateful queries, because their shuffle width is fixed at the start."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(
+    spark: SparkSession, zones: int = len(settings.ZONES), backfill: bool = False
+) -> SparkSession:
+    """A session of its own for stateful queries: their shuffle width is fixed at the first start, and
+    their state is kept off the heap, with only its changes written per micro-batch."""
     own = prepare(spark.newSession())
-    width = state_partitions(spark)
-    own.conf.set("spark.sql.shuffle.partitions", str(width))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark, zones, backfill)))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return own
 
 

@@ -18,14 +18,20 @@ from zonewatch.operators import points
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def alert_log(alert_rows: DataFrame, fmt: str, options: dict[str, str], checkpoint: str) -> DataStreamWriter:
-    """Alerts as JSON messages, append mode: a Kafka topic, or text files without a broker."""
+def alert_log(
+    alert_rows: DataFrame, fmt: str, options: dict[str, str], checkpoint: str, mode: str = "append"
+) -> DataStreamWriter:
+    """Alerts as JSON messages: a Kafka topic, or text files without a broker.
+
+    ``append`` sends a window once, when it is over. ``update`` sends it early and again with every
+    change, for a receiver that keeps the last message per window; file sinks do not take it.
+    """
     return (
         ops.packed(ops.records(alert_rows))
         .writeStream.format(fmt)
         .options(**options)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .outputMode(mode)
     )
 
 
@@ -34,21 +40,24 @@ def console(rows: DataFrame, checkpoint: str | None = None) -> DataStreamWriter:
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).outputMode("append")
 
 
-def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
-    """Replace the folder of one micro-batch of one query."""
-    dated = rows.withColumn("date", F.to_date("time"))
-    dated.write.mode("overwrite").partitionBy("date").parquet(f"{path}/query={query}/batch={batch_id}")
+ROWS_PER_FILE = 1_000_000
 
 
-def point_batches(path: str, query: str, to_points=points.alert_points) -> BatchSink:
-    """Micro-batches of alerts or trends into a point table; an empty batch writes nothing."""
+def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Replace the folder of one micro-batch of one query; an empty batch writes nothing.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = to_points(batch)
-        if not rows.isEmpty():
-            write_batch(rows, path, query, batch_id)
+    A micro-batch has a partition per state store and often few rows, so partitions are merged,
+    without a shuffle, down to one per ``ROWS_PER_FILE`` rows.
+    """
+    count = rows.count()
+    if count:
+        dated = rows.withColumn("date", F.to_date("time")).coalesce(-(-count // ROWS_PER_FILE))
+        dated.write.mode("overwrite").partitionBy("date").parquet(f"{path}/query={query}/batch={batch_id}")
 
-    return sink
+
+def point_batches(path: str, query: str, to_points=points.alert_points) -> BatchSink:
+    """Micro-batches of alerts or trends into a point table."""
+    return lambda batch, batch_id: write_batch(to_points(batch), path, query, batch_id)
 
 
 def message_batches(fmt: str, options: dict[str, str]) -> BatchSink:
