@@ -91,16 +91,21 @@ def pending_days(spark: SparkSession, lake: str, name: str) -> list:
 
 
 def refresh_snapshot(spark: SparkSession, lake: str, name: str, days=None) -> None:
-    """Rebuild the daily aggregates of the given days, of all days when none are given."""
+    """Rebuild the daily aggregates of the given days, of all days when none are given.
+
+    The snapshot is partitioned by day alone, the unit in which it is replaced: a day and zone
+    hold a single row, and a file for each would leave nothing but tiny files.
+    """
     history = tables.processed(spark, lake, name) if name in SENSORS else None
     if history is None:
         return
     touched = history if days is None else clean.on_days(history, days)
-    result = daily.daily_by_name(touched, name)
+    day = daily.DAY_KEYS[0]
+    result = daily.daily_by_name(touched, name).hint("rebalance", F.col(day))
     (
         result.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*daily.DAY_KEYS)
+        .partitionBy(day)
         .parquet(f"{lake}/aggregated/{name}")
     )
 
