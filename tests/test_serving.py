@@ -230,3 +230,28 @@ def test_running_counts_stay_complete_over_batches(spark, tmp_path):
         writer = counted.writeStream.outputMode("complete").foreachBatch(keep)
         jobs.drain(writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
     assert seen[-1] == {"ROUGE": 2, "ORANGE": 1, "total": 3}
+
+
+def test_pipeline_feeds_messages_points_and_console_from_one_query(spark, tmp_path, capfd):
+    schema = "sensor string, zone string, event_time timestamp, vehicles_per_min int, avg_speed_kmh double"
+    data = [("traffic", "a", at(i), 80, 50.0) for i in range(40)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "in"))
+    stream = jobs.stream_session(spark).readStream.schema(schema).parquet(str(tmp_path / "in"))
+    started = jobs.alert_pipeline(
+        stream, chosen(["traffic"]), str(tmp_path / "points"), str(tmp_path / "state"),
+        message_fmt="text", message_options={"path": str(tmp_path / "log")}, show=True, trigger={"availableNow": True},
+    )
+    for query in started:
+        jobs.drain(query)
+    sent = ops.unpacked(spark.read.text(str(tmp_path / "log")))
+    stored = spark.read.parquet(str(tmp_path / "points"))
+    # Newest reading 00:39: alert windows ending up to 00:34, trend windows ending up to 00:24.
+    assert sent.count() == stored.filter("niveau = 'ROUGE'").count() == 34
+    assert {r["time"] for r in rows(stored.filter("niveau = 'TENDANCE'"))} == {at(-10), at(-5), at(0), at(5)}
+
+
+def test_console_writer(spark, tmp_path):
+    stream = alert_stream(spark, tmp_path, [alert(0)])
+    query = sinks.console(stream, str(tmp_path / "state")).trigger(availableNow=True).start()
+    jobs.drain(query)
+    assert query.lastProgress is not None

@@ -34,8 +34,3 @@ def day_of(time: Column) -> Column:
 
 def hour_of(time: Column) -> Column:
     return F.hour(time)
-
-
-def naive(time: Column) -> Column:
-    """Wall-clock form of an instant, for results that leave the session."""
-    return time.cast("timestamp_ntz")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewatch.functions import times
-from zonewatch.sensors import SENSORS, Sensor, case_by_sensor, chosen, quoted, wide_schema
+from zonewatch.sensors import Sensor, case_by_sensor, chosen, quoted, wide_schema
 from zonewatch.session import prepare
 from zonewatch.settings import ZONES
 

@@ -42,10 +42,6 @@ class Sensor:
         """The same fields read as text, for paths that convert values leniently."""
         return StructType([StructField(f.name, StringType()) for f in self.schema])
 
-    @property
-    def metrics(self) -> tuple[str, ...]:
-        return tuple(self.averages) + (("nb_faulty",) if self.counts_faults else ())
-
     @property
     def limits(self):
         return settings.LIMITS[self.name]
