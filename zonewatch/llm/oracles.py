@@ -25,5 +25,33 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+OP3 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (SELECT a.r AS ra, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+SELECT vec_id, coalesce(n, 0)::bigint AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) c ON c.a = vec_id LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) g ON g.a = vec_id
+"""
+
+OP7 = """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS payload FROM pages),
+s AS (SELECT r, page_id, octet_length(payload) AS n, sha1(payload) AS sha FROM p),
+d AS (SELECT DISTINCT sha, unhex(sha)::BIT::VARCHAR AS bits FROM s),
+b AS (
+  SELECT sha, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * substr(bits, 5 * i + 1, 1)::int + 8 * substr(bits, 5 * i + 2, 1)::int
+    + 4 * substr(bits, 5 * i + 3, 1)::int + 2 * substr(bits, 5 * i + 4, 1)::int + substr(bits, 5 * i + 5, 1)::int, 1), '' ORDER BY i) AS digest
+  FROM d, unnest(range(32)) AS t(i) GROUP BY sha
+),
+f AS (SELECT sha, min(page_id) AS first FROM s GROUP BY sha)
+SELECT page_id, n::bigint AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM s JOIN b USING (sha) JOIN f USING (sha)
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op8_decontaminate": OP8}
+    return {"op3_pca_tiles": OP3, "op7_warc_segments": OP7, "op8_decontaminate": OP8}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewatch.llm import decontaminate
+from zonewatch.llm import decontaminate, pca_tiles, ppm, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pca_tiles.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", ppm.held_out())
+    return ppm.predict(docs, ppm.learn(docs.where("NOT held_out")), keep=("doc_id", "held_out"))
+
+
+def op7_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(files, payloads=False).drop("url", "payload")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_words", "items")
 

@@ -53,7 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
     turn = 0
     while not (pairs := pairs.where("a <> b")).isEmpty():
         both = pairs.union(pairs.selectExpr("b", "a")).toDF("u", "v")
-        # min over a struct has no hash buffer, so the rank and the node travel as one decimal-free pair of longs
+        # the hash of one long is one to one, so the least hash names a node, and a plain minimum finds it
         ranked = both.selectExpr("u", f"xxhash64(v, {turn}) AS r", "v")
         first = ranked.groupBy("u").agg(F.min("r").alias("r"))
         named = ranked.select("r", "v").distinct()
