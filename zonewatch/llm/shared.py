@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.session import run_dir, shared_dir
+from zonewatch.session import run_dir
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -32,37 +34,37 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """For small tables of a loop: the context cleans these checkpoints once they are out of use."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b longs); a component is named by its smallest node.
 
-    Each round gives every node the neighbour (or itself) that comes first in an order drawn anew, and
-    contracts the edges to those; the expected number of nodes falls by a constant factor a round,
-    also on long chains. All of it is grouping by sum-like minima and equi-joins, so a hub is
-    pre-aggregated in each task. Self-loops are allowed, an empty table gives an empty one.
+    Each round gives every node the first of itself and its neighbours in an order that changes from round
+    to round (ids xor a constant, which is one to one and undone by itself), and contracts the edges to
+    those. Stars around a small id are gone after the first round, whose order is that of the ids; long chains
+    shrink by a constant factor a round. All of it is grouping by minima and equi-joins, so a hub is
+    pre-aggregated in each task. Each round is written, so a lost executor costs one round at most.
+    Self-loops are allowed, rows with a null are passed over, an empty table gives an empty one.
     """
-    pairs = checkpointed(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct())
-    labels = pairs.selectExpr("stack(2, a, b) AS node").distinct().selectExpr("node", "node AS at")
-    turn = 0
-    while not (pairs := pairs.where("a <> b")).isEmpty():
-        both = pairs.union(pairs.selectExpr("b", "a")).toDF("u", "v")
-        # the hash of one long is one to one, so the least hash names a node, and a plain minimum finds it
-        ranked = both.selectExpr("u", f"xxhash64(v, {turn}) AS r", "v")
-        first = ranked.groupBy("u").agg(F.min("r").alias("r"))
-        named = ranked.select("r", "v").distinct()
-        own = first.join(named, "r").selectExpr("u", "if(xxhash64(u, {t}) <= r, u, v) AS m".format(t=turn))
-        own = checkpointed(own)
-        pairs = checkpointed(
-            pairs.join(own.toDF("a", "ma"), "a").join(own.toDF("b", "mb"), "b").selectExpr("least(ma, mb) AS a", "greatest(ma, mb) AS b").where("a <> b").distinct()
-        )
-        labels = checkpointed(labels.join(own.toDF("at", "m"), "at", "left").selectExpr("node", "coalesce(m, at) AS at"))
-        turn += 1
-    names = labels.groupBy("at").agg(F.min("node").alias("component"))
-    return labels.join(names, "at").select("node", "component")
+    pairs = written(edges.selectExpr("cast(a AS long) AS a", "cast(b AS long) AS b").where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
+    labels = pairs.selectExpr("stack(2, a, b) AS node").distinct().withColumn("at", F.col("node"))
+    pairs, order = pairs.where("a <> b"), random.Random(1)
+    mask = 0
+    while not pairs.isEmpty():
+        first = pairs.union(pairs.selectExpr("b", "a")).toDF("u", "v").groupBy("u").agg(F.expr(f"min(v ^ {mask}L)").alias("r"))
+        own = written(first.selectExpr("u", f"least(r, u ^ {mask}L) ^ {mask}L AS m"), "contracted")
+        pairs = pairs.join(own.toDF("a", "ma"), "a").join(own.toDF("b", "mb"), "b").selectExpr("least(ma, mb) AS a", "greatest(ma, mb) AS b")
+        pairs = written(pairs.where("a <> b").distinct(), "edges")
+        labels = labels.join(own.toDF("at", "m"), "at", "left").selectExpr("node", "coalesce(m, at) AS at")
+        mask = order.getrandbits(62)
+    labels = written(labels, "labels")
+    return labels.join(labels.groupBy("at").agg(F.min("node").alias("component")), "at").select("node", "component")
+
+
+#: Ids up to this number (32 MB) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 4_000_000
+
+
+def some_of(rows: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``key`` is among ``ids`` (or, with left_anti, is not). The ids are counted first: while
+    they fit, the rows are filtered in place and their texts are not shuffled."""
+    ids = written(ids.select(key), "ids")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
