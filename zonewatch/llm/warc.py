@@ -154,14 +154,23 @@ def write(pages: DataFrame, page_id: str = "page_id", html: str = "html", url: s
     return written(planned(pages, page_id, html, url, least).mapInArrow(run, "path string, records long, bytes long"), "warc-files")
 
 
+def members(data: bytes) -> Iterator[bytes]:
+    """The gzip members of a file, unpacked. Fed in small pieces, as what follows a member is copied back."""
+    at, piece = 0, 16 << 10
+    while at < len(data):
+        inflate, out = zlib.decompressobj(31), []
+        while not inflate.eof:
+            if at >= len(data):
+                raise ValueError("an archive is cut off")
+            out.append(inflate.decompress(data[at : at + piece]))
+            at += piece
+        at = min(at, len(data)) - len(inflate.unused_data)
+        yield b"".join(out)
+
+
 def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record in a file of gzip members."""
-    inflate, data = zlib.decompressobj(31), stream.read()
-    while data:
-        raw = inflate.decompress(data) + inflate.flush()
-        if not inflate.eof:
-            raise ValueError("an archive is cut off")
-        data, inflate = inflate.unused_data, zlib.decompressobj(31)
+    for raw in members(stream.read()):
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         length = int(fields["Content-Length"])
@@ -199,6 +208,9 @@ def segments(files: DataFrame) -> DataFrame:
     return files.select("path").repartition(files.sparkSession.sparkContext.defaultParallelism * 4).mapInArrow(run, SEGMENTS)
 
 
+RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     types = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
     names = [c.split()[0] for c in SEGMENTS.split(", ")]
@@ -218,11 +230,10 @@ def assembled(origin: str, parts: list[tuple[int, int | None, bytes]]) -> bytes:
 
 def read(files: DataFrame, payloads: bool = True) -> DataFrame:
     """Per record: page_id, url, payload_bytes, payload_digest, record_type, refers_to (a page id) and, on
-    request, payload (null for revisits, which do not hold it)."""
-    parts = segments(files)
-    grouped = parts.where("kind <> 'revisit'").groupBy("origin").agg(
+    request, payload (null for revisits, which do not hold it). The archive is parsed once."""
+    grouped = segments(files).groupBy("origin").agg(
         F.collect_list(F.struct("number", "total", "block")).alias("parts"),
-        *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("page_id", "url", "digest")],
+        *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("kind", "page_id", "url", "digest", "refers_to")],
     )
 
     def run(batches):
@@ -230,24 +241,23 @@ def read(files: DataFrame, payloads: bool = True) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 block = assembled(row["origin"], [(p["number"], p["total"], p["block"]) for p in row["parts"]])
+                if row["kind"] == "revisit":
+                    out.append((row["page_id"], row["url"], None, row["digest"], "revisit", int(row["refers_to"].split(":")[2]), None))
+                    continue
                 payload = payload_of(block)
                 sha = digest(payload)
                 if sha != row["digest"]:
                     raise ValueError(f"{row['origin']}: the payload's digest differs")
-                out.append((row["page_id"], row["url"], len(payload), sha, payload if payloads else None))
-            names = ["page_id", "url", "payload_bytes", "payload_digest", "payload"]
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=names)
-
-    whole = grouped.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, payload binary")
-    whole = whole if payloads else written(whole.drop("payload", "url"), "warc-read").selectExpr("page_id", "cast(NULL AS string) AS url", "payload_bytes", "payload_digest", "cast(NULL AS binary) AS payload")
-    named = r"cast(regexp_extract(refers_to, '<urn:page:(-?\\d+):', 1) AS long)"
-    again = parts.where("kind = 'revisit'").selectExpr("page_id", "url", "digest", f"{named} AS refers_to").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    # revisits of one response may be a third of all records: dealt over the salts as well
-    held = whole.selectExpr("page_id AS refers_to", "payload_digest AS digest", "payload_bytes").distinct()
-    held = held.join(again.select("refers_to", "digest").distinct(), ["refers_to", "digest"], "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = again.join(held, ["refers_to", "digest", "salt"], "left")
-    return whole.selectExpr("page_id", "url", "payload_bytes", "payload_digest", "'response' AS record_type", "cast(NULL AS long) AS refers_to", "payload").unionByName(
-        found.selectExpr("page_id", "url", "payload_bytes", "digest AS payload_digest", "'revisit' AS record_type", "refers_to", "cast(NULL AS binary) AS payload")
-    )
-
+                out.append((row["page_id"], row["url"], len(payload), sha, "response", None, payload if payloads else None))
+            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=[c.split()[0] for c in RECORD.split(", ")])
+
+    found = written(grouped.mapInArrow(run, RECORD), "warc-records")
+    whole, again = found.where("record_type = 'response'"), found.where("record_type = 'revisit'").drop("payload_bytes")
+    # revisits of one response may be a third of all records: they are dealt over salts, and the
+    # responses that are asked for stand in each salt
+    asked = again.select("refers_to", "payload_digest").distinct()
+    held = whole.selectExpr("page_id AS refers_to", "payload_digest", "payload_bytes").distinct().join(asked, ["refers_to", "payload_digest"], "left_semi")
+    held = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    again = again.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return whole.unionByName(again.join(held, ["refers_to", "payload_digest", "salt"], "left").drop("salt"))
