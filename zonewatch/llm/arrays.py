@@ -68,7 +68,8 @@ def powers(base: int) -> Powers:
 def prefix_sums(values: np.ndarray, base: int) -> np.ndarray:
     up, _ = powers(base).upto(max(1, len(values)))
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * up[: len(values)], out=out[1:])
+    np.multiply(values, up[: len(values)], out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 
