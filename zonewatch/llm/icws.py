@@ -298,3 +298,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     single = ids.join(several, ["h1", "h2", "salt"], "left_anti").join(named.where("n_copies = 1"), ["h1", "h2"], "left")
     single = single.selectExpr("doc_id", "coalesce(class_id, doc_id) AS class_id", "coalesce(n_copies, 1L) AS n_copies")
     return copies.unionByName(single).withColumn("kept", F.expr("coalesce(doc_id = class_id, false)"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The documents, all columns, without those of a class that are not its representative. Of rows that share the
+    representative's id one stays; rows with a null id stay."""
+    found = written(classes(docs, doc_id, text, **how).where("doc_id IS NOT NULL"), "near-classes")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(doc_id)).distinct()
+    left = some_of(docs, gone, doc_id, "left_anti")
+    several = found.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(doc_id))
+    if several.isEmpty():
+        return left
+    return some_of(left, several, doc_id, "left_anti").unionByName(some_of(left, several, doc_id).dropDuplicates([doc_id]))

@@ -226,7 +226,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
     several = classes.where("weight > 1").drop("v").join(known, "rep", "left")
     several = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     marked = vectors.selectExpr(f"cast(`{vec_id}` AS long) AS vec_id", f"`{label}` AS label", f"cast(`{embedding}` AS array<double>) AS v")
-    marked = marked.selectExpr("vec_id", "label", "xxhash64(v) AS h1", "xxhash64(v, 1) AS h2").withColumn("salt", F.pmod(F.hash("vec_id"), F.lit(SALTS)))
+    marked = marked.selectExpr("vec_id", "label", "xxhash64(v) AS h1", "xxhash64(v, 1) AS h2")
+    # a null id meets no salt, so it takes part in nothing
+    marked = marked.withColumn("salt", F.expr(f"if(vec_id IS NULL, NULL, pmod(hash(vec_id), {SALTS}))"))
     key = ["label", "h1", "h2", "salt"]
     copies = marked.join(several, key).selectExpr("vec_id", "coalesce(n, 0) + weight - 1 AS n_links", "coalesce(component, rep) AS component_id")
     single = marked.join(several, key, "left_anti").join(known.withColumnRenamed("rep", "vec_id"), "vec_id", "left").selectExpr("vec_id", "coalesce(n, 0L) AS n_links", "coalesce(component, vec_id) AS component_id")

@@ -19,7 +19,7 @@ the edge; neither blocks nor partitions change them.
 Decoding joins the pieces and turns the blank marks back; every draw is decoded and compared with its text.
 
 Defined cases: a null or empty text has one segmentation, without pieces; a text with fewer than k segmentations
-has all of them, with inclusion 1; the mark U+2581 in a text is read as a blank; repeated rows draw
+has all of them, with inclusion probability 1; the mark U+2581 in a text is read as a blank; repeated rows draw
 alike, null keys draw as key 0; an empty table gives no rows; other columns are ignored.
 """
 
@@ -306,9 +306,10 @@ class Draws:
         self.beyond = [max((a[0] for a in agenda), default=-np.inf) for agenda in agendas]
 
     def inclusion(self, row: int) -> list[float]:
-        """Of each draw of a row, the probability that it is among the first k."""
+        """Of each draw of a row, the logarithm of the probability that it is among the first k."""
         kappa = self.beyond[row]
-        return [1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(logp - kappa))) for _, logp, _ in self.found[row]]
+        above = [logp - kappa for _, logp, _ in self.found[row]]
+        return [0.0 if x == np.inf else float(x if x < -30 else np.log(-np.expm1(-np.exp(min(x, 9.0))))) for x in above]
 
 
 def best_of(owner: np.ndarray, value: np.ndarray, k: int, rows: int) -> np.ndarray:
@@ -346,13 +347,13 @@ def loaded(path: str, alpha: float) -> Pieces:
     return LOADED[path, alpha]
 
 
-FIELDS = "n_samples int, n_pieces array<int>, ids array<array<int>>, ids_crc32 array<long>, logp array<double>, perturbed array<double>, inclusion array<double>, round_trip boolean"
+FIELDS = "n_samples int, n_pieces array<int>, ids array<array<int>>, ids_crc32 array<long>, logp array<double>, perturbed array<double>, log_inclusion array<double>, round_trip boolean"
 
 
 def sample(docs: DataFrame, model: Callable[[], str], doc_id: str = "doc_id", text: str = "text", draws: int = DRAWS, alpha: float = ALPHA, seed: int = SEED, with_ids: bool = True) -> DataFrame:
     """Per row: doc_id, n_samples, and per draw (most probable perturbed value first) the number of pieces, the ids (null
-    unless ``with_ids``), their crc32, log-probability, perturbed log-probability and inclusion
-    probability; round_trip: whether every draw decodes to the text. ``model`` gives the model's path."""
+    unless ``with_ids``), their crc32, log-probability, perturbed log-probability and the logarithm of
+    the inclusion probability; round_trip: whether every draw decodes to the text. ``model`` gives the model's path."""
 
     def run(batch, texts):
         pieces = loaded(model(), alpha)
@@ -381,7 +382,7 @@ def sample(docs: DataFrame, model: Callable[[], str], doc_id: str = "doc_id", te
             ids_crc32=lists(crc, pa.int64()),
             logp=lists([f[1] for r in rows for f in r], pa.float64()),
             perturbed=lists([f[2] for r in rows for f in r], pa.float64()),
-            inclusion=lists([p for r in range(len(rows)) for p in drawn.inclusion(r)], pa.float64()),
+            log_inclusion=lists([p for r in range(len(rows)) for p in drawn.inclusion(r)], pa.float64()),
             round_trip=np.bincount(own, weights=np.array(same, float), minlength=len(rows)) == n,
         )
 
