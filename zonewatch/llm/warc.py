@@ -37,6 +37,8 @@ FILE_BYTES = 16 << 20
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
 SALTS = 16
+#: Repeated payloads up to this number (about 40 MB of digests and ids) are broadcast.
+BROADCAST_DIGESTS = 500_000
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -107,10 +109,13 @@ def planned(pages: DataFrame, page_id: str, html: str, url: str, least: int) ->
     """Pages with ``refers_to``: the id that holds their payload, null for those that hold it themselves."""
     rows = pages.selectExpr(f"cast(`{page_id}` AS long) AS page_id", f"`{url}` AS url", f"cast(coalesce(`{html}`, '') AS binary) AS payload").withColumn("sha", F.sha1("payload"))
     shared = rows.where(F.length("payload") >= least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL")
-    # a payload may belong to a third of all pages: its rows are dealt over the salts
-    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("n")
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    held = rows.join(shared, ["sha", "salt"], "left")
+    shared = written(shared.drop("n"), "shared-payloads")
+    if shared.count() <= BROADCAST_DIGESTS:  # the pages stay where they are
+        held = rows.join(F.broadcast(shared), "sha", "left")
+    else:  # a payload may belong to a third of all pages: its rows are dealt over the salts
+        salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        held = rows.join(salted, ["sha", "salt"], "left")
     return held.selectExpr("page_id", "url", "payload", f"if(first <=> page_id OR octet_length(payload) < {least}, NULL, first) AS refers_to")
 
 
