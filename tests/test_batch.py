@@ -1,12 +1,13 @@
 """Cleaning, idempotent load, snapshot, run log, report."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from zonewatch.functions import times
 from zonewatch.operators import clean, daily, history
 from zonewatch.plans import etl, report
 from zonewatch.sensors import POLLUTION, SENSORS, TRAFFIC
@@ -77,13 +78,37 @@ def test_known_keys_are_not_new(spark):
     assert clean.new_rows(df, None).count() == 3
 
 
-def test_day_filter_prunes_exactly(spark):
-    df = spark.range(3000).select(F.expr("date_add(date'2000-01-01', cast(id as int))").alias("date_partition"))
-    days = [r[0] for r in df.collect()]
-    assert clean.on_days(df, []).count() == 0
-    assert clean.on_days(df, days[10:12] + days[500:501]).count() == 3
-    # Beyond the list limit a range is read; the join key does the rest.
-    assert clean.on_days(df, days[::2]).count() >= 1500
+def test_day_filter_reads_exactly_the_days(spark, tmp_path):
+    """The same form for any number of days: here every second one of 1,600, whose partitions alone are read."""
+    df = spark.range(1600).select(F.expr("date_add(date'2000-01-01', cast(id as int))").alias("date_partition"), "id")
+    assert clean.on_days(df, df.limit(0)).count() == 0
+    assert clean.on_days(df, df.filter("id IN (10, 11, 500)")).count() == 3
+    assert clean.on_days(df, df.filter("id % 2 = 0")).count() == 800
+    df.filter("id < 40").write.partitionBy("date_partition").parquet(str(tmp_path / "t"))
+    df.filter("id IN (3, 7)").write.parquet(str(tmp_path / "days"))
+    found = clean.on_days(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "days")))
+    assert found.count() == 2
+    assert "dynamicpruning" in spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+
+
+def test_a_load_over_many_days_touches_exactly_its_days(spark, tmp_path):
+    stamp = "2000-01-01"
+    def lines(step):  # noqa: ANN001, ANN202
+        days = spark.range(0, 1500, step).select(F.expr(f"date_add(date'{stamp}', cast(id as int))").cast("string").alias("d"))
+        return days.select(F.concat(F.lit('{"timestamp":"'), "d", F.lit('T08:00:00Z","device_id":"x"%s}')).alias("value"))
+    body = ',"zone":"a","co2_ppm":1.0,"pm25":1.0,"air_quality_index":1'
+    put_lines = lines(1).select(F.regexp_replace("value", "%s", body).alias("value"))
+    put_lines.coalesce(2).write.text(str(tmp_path / "raw/pollution"))
+    wide = {"spark.sql.shuffle.partitions": "2"}
+    for key, value in wide.items():
+        spark.conf.set(key, value)
+    try:
+        (first,) = load(spark, tmp_path)
+        assert (first.rows, first.status, first.snapshot) == (1500, "SUCCESS", "SUCCESS")
+        assert tables.aggregated(spark, str(tmp_path / "lake"), "pollution").count() == 1500
+        assert load(spark, tmp_path)[0].rows == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_second_run_adds_nothing(spark, tmp_path):
@@ -93,7 +118,7 @@ def test_second_run_adds_nothing(spark, tmp_path):
     assert (second.status, second.rows, second.snapshot) == ("SUCCESS", 0, None)
     assert processed(spark, tmp_path).count() == 10
     bad = rows(spark.read.parquet(str(tmp_path / "lake/rejects/pollution")))
-    assert [r["reject_reason"] for r in bad] == ["unreadable"]
+    assert [(r["reject_reason"], r["value"], r["batch"]) for r in bad] == [("unreadable", "not json", "all")]
     log = rows(spark.read.parquet(str(tmp_path / "lake/run_log")))
     assert sorted((r["status"], r["rows_processed"]) for r in log) == [("SUCCESS", 0), ("SUCCESS", 10)]
 
@@ -130,7 +155,7 @@ def test_a_lost_snapshot_is_made_up_for_by_the_next_run(spark, tmp_path, monkeyp
     assert (again.rows, again.snapshot) == (0, "SUCCESS")
     (row,) = rows(tables.aggregated(spark, str(tmp_path / "lake"), "pollution"))
     assert row["nb_mesures"] == 4
-    assert etl.pending_days(spark, str(tmp_path / "lake"), "pollution") == []
+    assert etl.pending_days(spark, str(tmp_path / "lake"), "pollution") is None
 
 
 def test_incremental_load_reads_each_file_once(spark, tmp_path):
@@ -144,6 +169,47 @@ def test_incremental_load_reads_each_file_once(spark, tmp_path):
     assert row["nb_mesures"] == 5
 
 
+def test_incremental_load_loses_nothing(spark, tmp_path, monkeypatch):
+    """Numbers in other forms are kept, rejects stay per batch, failures are logged and raised, owed days are made up for."""
+    raw, lake, state = tmp_path / "raw", tmp_path / "lake", str(tmp_path / "state")
+
+    def call():
+        etl.load_new_files(spark, str(raw), str(lake), POLLUTION, state)
+
+    put(raw, "pollution", [message(0, air_quality_index=50.0), message(1, co2_ppm="410"), message(2, air_quality_index=1.5), "{"], "one")
+    call()
+    found = {r["timestamp"][14:16]: (r["co2_ppm"], r["air_quality_index"]) for r in rows(processed(spark, tmp_path))}
+    assert found == {"00": (400.0, 50), "01": (410.0, 50)}
+    put(raw, "pollution", [message(3) | {"timestamp": "12:30"}, message(4)], "two")
+    with monkeypatch.context() as patched:
+        patched.setattr(etl, "refresh_snapshot", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            call()
+    bad = sorted((r["batch"], r["reject_reason"], r["value"][:1]) for r in rows(spark.read.parquet(str(lake / "rejects/pollution"))))
+    assert bad == [(0, "bad_number", "{"), (0, "unreadable", "{"), (1, "bad_time", "{")]
+    call()
+    (row,) = rows(tables.aggregated(spark, str(lake), "pollution"))
+    assert row["nb_mesures"] == 3
+    log = rows(spark.read.parquet(str(lake / "run_log")))
+    assert sorted((r["rows_processed"], r["snapshot_status"][:6]) for r in log if r["rows_processed"]) == [(1, "FAILED"), (2, "SUCCES")]
+    with monkeypatch.context() as patched:
+        patched.setattr(etl.clean, "new_rows", lambda *a: 1 / 0)
+        put(raw, "pollution", [message(9)], "three")
+        with pytest.raises(Exception, match="division by zero"):
+            call()
+    assert [r["status"][:6] for r in rows(spark.read.parquet(str(lake / "run_log"))) if r["snapshot_status"] is None and r["status"] != "SUCCESS"] == ["FAILED"]
+    call()
+    assert processed(spark, tmp_path).count() == 4
+
+
+def test_a_time_without_a_day_has_none(spark):
+    texts = ["12:30", "2024", "2024-05", "2024-05-13", "T10:00Z", "2024-05-13T14:32", "2024-05-13 14:32:00", "2024-05-13T14:32:00.5+02:00", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(times.event_time(F.col("t"))).collect()]
+    assert [g is None for g in got] == [True] * 5 + [False] * 3 + [True] * 2
+    assert got[7] == datetime(2024, 5, 13, 12, 32, 0, 500000)
+
+
 def test_null_zone_is_stored_and_unknown_sensor_gives_nothing(spark, tmp_path):
     put(tmp_path / "raw", "pollution", [message(1, zone=None), message(2)])
     assert load(spark, tmp_path)[0].rows == 2
@@ -179,6 +245,15 @@ def test_peak_and_extremes_ignore_null_means(spark):
     assert rows(history.peak_hour(profile))[0]["heure"] == 7
 
 
+def test_the_report_reads_each_history_once(spark, tmp_path):
+    air = spark.createDataFrame([("2024-01-01", "a", 1, 2.0, 3.0), ("2024-01-01", "a", 3, 4.0, None)], "date_partition string, zone string, air_quality_index int, co2_ppm double, pm25 double")
+    cars = spark.createDataFrame([("2024-01-01", "a", 8, 5, 6.0)], "date_partition string, zone string, heure int, vehicles_per_min int, avg_speed_kmh double")
+    bases = history.Bases(history.pollution_base(air), history.traffic_base(cars))
+    (row,) = rows(history.pollution_by_zone(bases.pollution))
+    assert (row["avg_aqi"], row["avg_co2"], row["avg_pm25"]) == (2.0, 3.0, 3.0)
+    assert {r["fact"]: r["value"] for r in rows(history.facts_of(bases))} == {"worst_zone": 2.0, "best_zone": 2.0, "peak_hour": 5.0}
+
+
 def test_schemas_keep_their_types():
     assert TRAFFIC.schema["vehicles_per_min"].dataType.simpleString() == "int"
     assert all(f.dataType.simpleString() == "string" for f in SENSORS["dechets"].text_schema)

@@ -15,15 +15,19 @@ SQL = entry_points.oracle_sql()
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    for table in ("events", "documents", "benchmark", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return con
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(SQL)
+    from zonewatch.plans import oracles, queries
 
+    assert set(queries.registry()) == set(oracles.build())
+    assert set(SQL) <= set(QUERIES)
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, duck, name):
     found = QUERIES[name](spark, SF_DIR)
     columns = sorted(found.columns)

@@ -55,6 +55,21 @@ def test_lenient_points(spark):
     ]
 
 
+BLANKS = ["", "\n", "\t", " \r\n "]
+
+
+@pytest.mark.parametrize("text", [False, True])
+def test_objects_are_found_by_parsing(spark, text):
+    """White space before an object does not matter; arrays, bare values and broken texts are no objects."""
+    good = [b + '{"zone": "z"}' for b in BLANKS] + ["{}", '{"co2_ppm": "x"}']
+    bad = ["[1]", '[{"zone": "z"}]', '"{}"', "5", "null", "", " ", "{bad", None]
+    df = spark.createDataFrame([("pollution", v) for v in good + bad] + [(None, "{}")], "s string, value string")
+    assert parse.decode_any(df, F.col("s"), text=text).count() == len(good)
+    lost = rows(parse.unread(df, F.col("s")))
+    assert sorted(str(r["value"]) for r in lost if r["reject_reason"] == "unreadable") == sorted(map(str, bad))
+    assert [r["value"] for r in lost if r["reject_reason"] == "unknown_sensor"] == ["{}"]
+
+
 def test_strict_path_nulls_mistyped_numbers(spark):
     sent = spark.createDataFrame([(json.dumps({"air_quality_index": "7", "co2_ppm": "2.5", "pm25": 1.5}),), ("nope",)], "value string")
     got = rows(parse.decode(sent, SENSORS["pollution"]))
@@ -191,11 +206,98 @@ def test_a_repeated_batch_leaves_one_copy(spark, tmp_path):
     sink(batch.limit(0), 8)
     found = spark.read.parquet(str(tmp_path / "p"))
     assert found.count() == 2 and {r["batch"] for r in rows(found)} == {7}
+    assert {p.name.split("=")[0] for p in (tmp_path / "p").iterdir() if p.is_dir()} == {"date"}
+
+
+def test_a_repeated_batch_keeps_its_arrival_time(spark, tmp_path):
+    """So a batch that is repeated after midnight replaces its rows, also if partitions are replaced one by one."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        first = sinks.fixed_arrival(spark, str(tmp_path), 3)
+        records = ops.records(alerts(spark, [alert(0), alert(1)]))
+        for _ in range(2):
+            assert sinks.fixed_arrival(spark, str(tmp_path), 3) == first
+            sinks.write_batch(points.arrival_points(records, F.lit(first).cast("timestamp")), str(tmp_path / "p"), "arrivals", 3)
+        assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+        assert sinks.fixed_arrival(spark, str(tmp_path), 4) > first
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_compaction_changes_no_row_and_can_be_repeated(spark, tmp_path):
+    live, old = str(tmp_path / "live"), str(tmp_path / "old")
+    for batch_id, start in enumerate((0, 700, 1430, 2000)):
+        sinks.point_batches(live, "alerts")(alerts(spark, [alert(start + i) for i in range(20)]), batch_id)
+    before = at(1440).date()
+    for _ in range(2):
+        sinks.compact_points(spark, live, old, before)
+    found = sinks.all_points(spark, live, old, before)
+    assert sorted(r["time"] for r in rows(found)) == sorted(r["time"] for r in rows(spark.read.parquet(live)))
+    assert spark.read.parquet(old).select("date").distinct().count() == 1 and "batch" not in found.columns
+
+
+def test_panels_read_the_days_of_their_range_only(spark, tmp_path):
+    data = [("pollution", "z", "d", "aqi", float(i), at(10 * i)) for i in range(1000)]
+    points_table = spark.createDataFrame(data, POINT_SCHEMA).withColumn("date", F.to_date("time"))
+    points_table.write.partitionBy("measurement", "date").parquet(str(tmp_path / "p"))
+    found = dashboard.aqi_panel(spark.read.parquet(str(tmp_path / "p")), F.lit(at(9990)).cast("timestamp"))
+    assert [r["value"] for r in rows(found)] == [998.0]
+    files = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in files and "date#" in files.split("PartitionFilters")[1].split("]")[0]
+    read = spark.read.parquet(str(tmp_path / "p"))
+    assert len(dashboard.in_range(read, F.lit(at(9990)).cast("timestamp"), "15 minutes").inputFiles()) >= 1
+
+
+def test_adapters_plan_their_sources_and_sinks(spark, monkeypatch, tmp_path):
+    """The broker sources are built from their options; a file stream stands in for the transport."""
+    asked = []
+    schema = "topic string, value binary, headers array<struct<key:string,value:binary>>"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
+
+    def messages(session, fmt, options, path=None, schema_=None):
+        asked.append((fmt, options["subscribe"], options.get("kafka.group.id"), options.get("includeHeaders")))
+        return session.readStream.schema(schema).parquet(str(tmp_path / "in"))
+
+    monkeypatch.setattr(streams, "messages", messages)
+    assert streams.sensor_topic(spark, "h:1", SENSORS["traffic"]).isStreaming
+    assert "event_time" in streams.all_topics(spark, "h:1").columns
+    assert streams.alert_messages(spark, "h:1", group="g").columns[0] == "debut_fenetre"
+    assert streams.hub_events(spark, "h:1", "hub").columns == ["value", "hub_device_id"]
+    assert asked == [
+        ("kafka", "sensors-traffic", None, None),
+        ("kafka", "sensors-pollution,sensors-traffic,sensors-eclairage,sensors-dechets", None, None),
+        ("kafka", "sensors-alerts", "g", None),
+        ("kafka", "hub", None, "true"),
+    ]
+
+
+def test_supervision_raises_what_a_query_raised(spark, tmp_path):
+    own = jobs.stream_session(spark, 1)
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+
+    def fail(batch, batch_id):
+        raise ValueError("sink is gone")
+
+    own.streams.resetTerminated()
+    writer = own.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.foreachBatch(fail)
+    writer.option("checkpointLocation", str(tmp_path / "state")).start()
+    with pytest.raises(Exception, match="sink is gone"):
+        jobs.supervise(own)
+    own.streams.resetTerminated()
+
+
+def test_rejects_of_a_stream_keep_their_text(spark, tmp_path):
+    data = [("sensors-traffic", "not json"), ("other", "{}"), ("sensors-traffic", '{"device_id":"d","timestamp":"2024-01-01T00:00:00Z"}')]
+    spark.createDataFrame(data, "topic string, value string").write.parquet(str(tmp_path / "in"))
+    stream = jobs.stream_session(spark, 1).readStream.schema("topic string, value string").parquet(str(tmp_path / "in"))
+    jobs.drain(jobs.reject_log(stream, str(tmp_path / "out"), str(tmp_path / "state"), trigger={"availableNow": True}))
+    got = sorted((r["reject_reason"], r["value"]) for r in rows(spark.read.parquet(str(tmp_path / "out"))))
+    assert got == [("unknown_sensor", "{}"), ("unreadable", "not json")]
 
 
 def alert_stream(spark, tmp_path, data):
     ops.packed(ops.records(alerts(spark, data))).coalesce(1).write.mode("append").text(str(tmp_path / "topic"))
-    own = jobs.stream_session(spark)
+    own = jobs.stream_session(spark, 2)
     return ops.unpacked(own.readStream.text(str(tmp_path / "topic")))
 
 
@@ -236,7 +338,7 @@ def test_pipeline_feeds_messages_points_and_console_from_one_query(spark, tmp_pa
     schema = "sensor string, zone string, event_time timestamp, vehicles_per_min int, avg_speed_kmh double"
     data = [("traffic", "a", at(i), 80, 50.0) for i in range(40)]
     spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "in"))
-    stream = jobs.stream_session(spark).readStream.schema(schema).parquet(str(tmp_path / "in"))
+    stream = jobs.stream_session(spark, 2).readStream.schema(schema).parquet(str(tmp_path / "in"))
     started = jobs.alert_pipeline(
         stream, chosen(["traffic"]), str(tmp_path / "points"), str(tmp_path / "state"),
         message_fmt="text", message_options={"path": str(tmp_path / "log")}, show=True, trigger={"availableNow": True},

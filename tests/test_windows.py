@@ -93,7 +93,7 @@ def test_min_count_and_own_grading(spark):
 
 def run_stream(spark, source, out, build, **options):
     """Drain a file stream of readings through ``build`` into a parquet table."""
-    own = jobs.stream_session(spark)
+    own = jobs.stream_session(spark, 2)
     stream = own.readStream.schema(SCHEMA).options(**options).parquet(str(source))
     query = (
         build(stream)

@@ -51,17 +51,3 @@ def congestion(vehicles: Column) -> Column:
 def bin_full(fill: Column) -> Column:
     return F.when(fill > settings.FULL_BIN_ABOVE, "true").otherwise("false")
 
-
-def is_night(hour: Column) -> Column:
-    return (hour < settings.NIGHT_BEFORE) | (hour > settings.NIGHT_AFTER)
-
-
-def pollution_rush(hour: Column) -> Column:
-    return hour.isin(*settings.POLLUTION_RUSH_HOURS)
-
-
-def traffic_factor(hour: Column) -> Column:
-    chain = F.when(hour.isNull(), F.lit(None).cast("double"))
-    for hours, factor in settings.TRAFFIC_FACTORS:
-        chain = chain.when(hour.isin(*hours), F.lit(factor))
-    return chain.otherwise(F.lit(settings.TRAFFIC_BASE_FACTOR))

@@ -35,7 +35,7 @@ def message(sensor: Sensor) -> str:
 
 
 def fired_rules(sensor: Sensor) -> Column:
-    """Array with one (rule, level, message, value) entry per numbered rule that holds.
+    """Array with an entry per numbered rule: (rule, level, message, value) if it holds, else null.
 
     ``value`` is the first metric of the rule whose own comparison holds.
     """
@@ -53,4 +53,4 @@ def fired_rules(sensor: Sensor) -> Column:
                 ),
             )
         )
-    return F.filter(F.array(*entries), lambda entry: entry.isNotNull())
+    return F.array(*entries)

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 STRICT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # How this package writes message times.
 MESSAGE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# A full date and time. A bare time or year would be read as a day of today's calendar.
+FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 
 
 def event_time(text: Column, strict: bool = False) -> Column:
-    """Message text to timestamp, null when unreadable. Whole seconds and ``Z`` are accepted
-    unless ``strict`` asks for the one fixed format."""
+    """Message text to timestamp, null when unreadable. Full date-times are accepted with or without a
+    fraction, ``Z`` or an offset; ``strict`` asks for the one fixed format."""
     if strict:
         return F.try_to_timestamp(text, F.lit(STRICT_FORMAT))
-    return F.try_to_timestamp(text)
+    return F.when(text.rlike(FULL), F.try_to_timestamp(text))
 
 
 def time_or(text: Column, arrival: Column) -> Column:

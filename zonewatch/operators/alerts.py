@@ -55,7 +55,7 @@ def all_points(alert_rows: DataFrame, trend_rows: DataFrame, to_points) -> DataF
 
 def attributed(alerts: DataFrame, sensors) -> DataFrame:
     """One row per alert window and numbered rule that fired, with the value that fired it."""
-    fired = alerts.withColumn("rule", F.explode(by_sensor(grading.fired_rules, sensors)))
+    fired = alerts.withColumn("rule", F.explode(by_sensor(grading.fired_rules, sensors))).filter("rule IS NOT NULL")
     return fired.select("window_start", "window_end", "zone", "type_capteur", "rule.*")
 
 

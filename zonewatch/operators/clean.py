@@ -26,7 +26,8 @@ def one_per_key(readings: DataFrame, keys, prefer) -> DataFrame:
 
 def tagged(readings: DataFrame) -> DataFrame:
     """Readings with day, hour and the reason for which they cannot be stored, null for good rows."""
-    return parse.with_calendar(readings).withColumn("reject_reason", parse.reject_reason())
+    reason = parse.reject_reason(numbers="bad_number" in readings.columns)
+    return parse.with_calendar(readings).withColumn("reject_reason", reason)
 
 
 def rejects(tagged_rows: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def rejects(tagged_rows: DataFrame) -> DataFrame:
 
 def without_rejects(tagged_rows: DataFrame, sensor: Sensor) -> DataFrame:
     """Good keys and time, one row per key, and only then the test for required metrics."""
-    good = tagged_rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "event_time")
+    good = tagged_rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "event_time", "value", "bad_number")
     return one_per_key(good, ID_COLUMNS, sensor.required).dropna(how="any", subset=list(sensor.required))
 
 
@@ -48,16 +49,13 @@ def new_rows(cleaned: DataFrame, stored: DataFrame | None, keys=ID_COLUMNS) -> D
     """Rows whose key is not stored yet. ``None`` means nothing is stored."""
     if stored is None:
         return cleaned
-    known = stored.select(*keys).distinct()
-    return cleaned.join(known, on=list(keys), how="left_anti")
-
-
-def on_days(stored: DataFrame, days) -> DataFrame:
-    """Stored rows of the given days only. The day follows from the time in the key, so other
-    days cannot hold a key of the batch; the filter prunes partitions before the join."""
-    days = sorted(days)
-    if not days:
-        return stored.limit(0)
-    if len(days) <= 1000:
-        return stored.filter(F.col("date_partition").isin(days))
-    return stored.filter(F.col("date_partition").between(days[0], days[-1]))
+    return cleaned.join(stored.select(*keys), on=list(keys), how="left_anti")
+
+
+def on_days(stored: DataFrame, days: DataFrame) -> DataFrame:
+    """Stored rows of the days in ``days`` (``date_partition``) only. The day follows from the time in the
+    key, so other days cannot hold a key of the batch. The days are a table, joined: its rows prune
+    the partitions that are read, and none of them passes through the driver."""
+    # The filter marks the side as selective, without which no partitions are pruned.
+    wanted = days.select("date_partition").distinct().filter("date_partition >= date'0001-01-01'")
+    return stored.join(wanted, "date_partition", "left_semi")

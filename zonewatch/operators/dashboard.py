@@ -17,8 +17,12 @@ ALERT_SERIES = ("zone", "niveau", "type")
 
 
 def in_range(points: DataFrame, now: Column, back: str) -> DataFrame:
-    """Points from ``now - back`` (included) to ``now`` (excluded)."""
-    return points.filter((F.col("time") >= now - F.expr(f"INTERVAL {back}")) & (F.col("time") < now))
+    """Points from ``now - back`` (included) to ``now`` (excluded). On a table laid out by ``date`` only the
+    days of the range are listed and read."""
+    begin = now - F.expr(f"INTERVAL {back}")
+    if "date" in points.columns:
+        points = points.filter(F.col("date").between(F.to_date(begin), F.to_date(now)))
+    return points.filter((F.col("time") >= begin) & (F.col("time") < now))
 
 
 def of(points: DataFrame, measurement: str, *fields: str) -> DataFrame:

@@ -2,33 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.functions.stats import correlation
 from zonewatch.operators.daily import DAY_KEYS
 
 
-def pollution_by_zone(pollution: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Bases:
+    """What all findings are made from: sums of each sensor per day and zone (traffic: and hour)."""
+
+    pollution: DataFrame | None
+    traffic: DataFrame | None
+
+
+def _sums(rows: DataFrame, keys: tuple[str, ...], **fields: str) -> DataFrame:
+    totals = [F.sum(F.col(f).cast("double")).alias(f"{name}_sum") for name, f in fields.items()]
+    counts = [F.count(f).alias(f"{name}_n") for name, f in fields.items()]
+    return rows.groupBy(*keys).agg(*totals, *counts)
+
+
+def pollution_base(pollution: DataFrame) -> DataFrame:
+    """The one pass over the pollution readings."""
+    return _sums(pollution, DAY_KEYS, aqi="air_quality_index", co2="co2_ppm", pm25="pm25")
+
+
+def traffic_base(traffic: DataFrame) -> DataFrame:
+    """The one pass over the traffic readings."""
+    return _sums(traffic, (*DAY_KEYS, "heure"), vehicles="vehicles_per_min", speed="avg_speed_kmh")
+
+
+def _mean(name: str) -> Column:
+    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(f"avg_{name}")
+
+
+def pollution_by_zone(base: DataFrame) -> DataFrame:
     """Mean air quality per zone, worst first."""
-    return (
-        pollution.groupBy("zone")
-        .agg(
-            F.avg("air_quality_index").alias("avg_aqi"),
-            F.avg("co2_ppm").alias("avg_co2"),
-            F.avg("pm25").alias("avg_pm25"),
-        )
-        .orderBy(F.desc_nulls_last("avg_aqi"), "zone")
-    )
+    return base.groupBy("zone").agg(_mean("aqi"), _mean("co2"), _mean("pm25")).orderBy(F.desc_nulls_last("avg_aqi"), "zone")
 
 
-def traffic_by_hour(traffic: DataFrame) -> DataFrame:
+def traffic_by_hour(base: DataFrame) -> DataFrame:
     """Mean traffic per hour of day, in day order."""
-    return (
-        traffic.groupBy("heure")
-        .agg(F.avg("vehicles_per_min").alias("avg_vehicles"), F.avg("avg_speed_kmh").alias("avg_speed"))
-        .orderBy("heure")
-    )
+    return base.groupBy("heure").agg(_mean("vehicles"), _mean("speed")).orderBy("heure")
 
 
 def zone_extremes(ranking: DataFrame) -> DataFrame:
@@ -51,13 +69,13 @@ def peak_hour(profile: DataFrame) -> DataFrame:
 
 
 def traffic_pollution_daily(pollution: DataFrame, traffic: DataFrame) -> DataFrame:
-    """Daily means of both sensors for the days and zones that have both.
+    """Daily means of both sensors, from their bases, for the days and zones that have both.
 
     Each side is aggregated first, so the join sees one row per day and zone and
     reuses the partitioning of the aggregates.
     """
-    air = pollution.groupBy(*DAY_KEYS).agg(F.avg("air_quality_index").alias("avg_aqi"))
-    cars = traffic.groupBy(*DAY_KEYS).agg(F.avg("vehicles_per_min").alias("avg_vehicles"))
+    air = pollution.groupBy(*DAY_KEYS).agg(_mean("aqi"))
+    cars = traffic.groupBy(*DAY_KEYS).agg(_mean("vehicles"))
     return air.join(cars, list(DAY_KEYS), "inner")
 
 
@@ -104,6 +122,12 @@ def report_facts(ranking: DataFrame, profile: DataFrame, corr: DataFrame) -> Dat
     return zone_facts(ranking).unionByName(peak_fact(profile)).unionByName(corr_fact(corr))
 
 
+def facts_of(bases: Bases) -> DataFrame:
+    """All findings from the bases of both sensors."""
+    corr = traffic_pollution_corr(traffic_pollution_daily(bases.pollution, bases.traffic))
+    return report_facts(pollution_by_zone(bases.pollution), traffic_by_hour(bases.traffic), corr)
+
+
 def recommendations(facts: DataFrame) -> DataFrame:
     """Which actions the findings call for, and where."""
     action = (

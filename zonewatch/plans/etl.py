@@ -11,10 +11,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewatch.operators import clean, daily
+from zonewatch.operators import clean, daily, parse
 from zonewatch.sensors import SENSORS, Sensor, chosen
 from zonewatch.session import prepare
 from zonewatch.sources import tables
@@ -25,7 +25,6 @@ LOG_SCHEMA = (
     "timestamp timestamp, sensor_type string, status string, rows_processed long, "
     "duration_seconds double, snapshot_status string"
 )
-DAY_SCHEMA = "date_partition date"
 
 
 @dataclass(frozen=True)
@@ -42,55 +41,48 @@ def _failure(err: Exception) -> str:
     return f"FAILED: {str(err)[:100]}"
 
 
-def load(raw: DataFrame, lake: str, sensor: Sensor, owed=()) -> tuple[int, list]:
-    """Clean raw rows and append the new ones. Returns (rows written, days touched).
+def load(lines: DataFrame, lake: str, sensor: Sensor, batch: str) -> int:
+    """Clean raw lines and append the new rows; returns their number.
 
-    Before anything is appended the batch's days, and those ``owed`` from a failed run, are noted.
-
-    The cleaned batch is staged as a table first, so the raw JSON is parsed once and a lost
-    executor costs one stage. Rejects need a second pass, taken only when there are any.
+    The parsed batch is staged as a table, so the raw JSON is parsed once: rejects, good rows and days
+    are read from there. Rejects are kept per ``batch`` with their raw text, so another batch does not
+    replace them and the same one does. The new rows are staged too: their days are marked as owed
+    before anything is appended, and a lost executor costs one stage.
     """
-    spark = raw.sparkSession
-    staged_path, processed_path = f"{lake}/staging/{sensor.name}", f"{lake}/processed/{sensor.name}"
-    rejects, days, rows = (Observation(f"{what}_{sensor.name}") for what in ("rejects", "days", "rows"))
-
-    tagged = clean.tagged(raw).observe(rejects, F.count("reject_reason").alias("n"))
-    cleaned = clean.without_rejects(tagged, sensor).observe(days, F.collect_set("date_partition").alias("days"))
-    _replace(cleaned, staged_path)
-    bad = clean.rejects(clean.tagged(raw))
-    _replace(bad if rejects.get["n"] else bad.limit(0), f"{lake}/rejects/{sensor.name}")
-
-    staged = spark.read.schema(cleaned.schema).parquet(staged_path)
-    stored = tables.processed(spark, lake, sensor.name)
-    # A day per partition of the batch: no more than the partition list the driver holds anyway.
-    batch_days = sorted(days.get["days"])
-    known = clean.on_days(stored, batch_days) if stored is not None else None
-    _mark(spark, lake, sensor.name, sorted({*batch_days, *owed}))
-    # The rebalance splits a large day and zone over several tasks and joins small ones, so neither
-    # a hot zone nor thousands of tiny files come out.
-    fresh = clean.new_rows(staged, known).hint("rebalance", *[F.col(c) for c in daily.DAY_KEYS])
-    # Observed after the last shuffle, where a repeated task is counted once.
-    watched = fresh.observe(rows, F.count(F.lit(1)).alias("n"), F.collect_set("date_partition").alias("days"))
-    watched.write.mode("append").partitionBy(*daily.DAY_KEYS).parquet(processed_path)
-    return int(rows.get["n"]), sorted(rows.get["days"])
+    spark, name = lines.sparkSession, sensor.name
+    staged = _staged(clean.tagged(parse.decode_lines(lines, sensor)), f"{lake}/staging/{name}/batch")
+    _replace(clean.rejects(staged), f"{lake}/rejects/{name}/batch={batch}")
+    stored = tables.processed(spark, lake, name)
+    good = staged.filter("reject_reason IS NULL")
+    known = clean.on_days(stored, good) if stored is not None else None
+    fresh = _staged(clean.new_rows(clean.without_rejects(staged, sensor), known), f"{lake}/staging/{name}/fresh")
+    rows = fresh.count()
+    if rows:
+        days = fresh.select("date_partition").distinct().coalesce(1)
+        days.write.mode("append").parquet(f"{lake}/pending/{name}")
+        # The rebalance splits a large day and zone over several tasks and joins small ones, so neither
+        # a hot zone nor thousands of tiny files come out.
+        dealt = fresh.hint("rebalance", *[F.col(c) for c in daily.DAY_KEYS])
+        dealt.write.mode("append").partitionBy(*daily.DAY_KEYS).parquet(f"{lake}/processed/{name}")
+    return rows
 
 
 def _replace(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def _mark(spark: SparkSession, lake: str, name: str, days) -> None:
-    """Note the days whose aggregates are about to be out of date; none once they are rebuilt."""
-    _replace(spark.createDataFrame([(d,) for d in days], DAY_SCHEMA).coalesce(1), f"{lake}/pending/{name}")
+def _staged(table: DataFrame, path: str) -> DataFrame:
+    _replace(table, path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def pending_days(spark: SparkSession, lake: str, name: str) -> list:
-    """Days that an earlier run appended to but did not aggregate, because it failed or was lost."""
-    noted = tables.table(spark, f"{lake}/pending/{name}")
-    return [] if noted is None else [row[0] for row in noted.collect()]
+def pending_days(spark: SparkSession, lake: str, name: str) -> DataFrame | None:
+    """Days whose rows were appended but not aggregated yet, ``None`` without any. A run that failed or
+    was lost leaves them to the next."""
+    return tables.table_or_none(spark, f"{lake}/pending/{name}", tables.DAY_SCHEMA)
 
 
-def refresh_snapshot(spark: SparkSession, lake: str, name: str, days=None) -> None:
+def refresh_snapshot(spark: SparkSession, lake: str, name: str, days: DataFrame | None = None) -> None:
     """Rebuild the daily aggregates of the given days, of all days when none are given.
 
     The snapshot is partitioned by day alone, the unit in which it is replaced: a day and zone
@@ -110,33 +102,29 @@ def refresh_snapshot(spark: SparkSession, lake: str, name: str, days=None) -> No
     )
 
 
-def _load_and_refresh(raw: DataFrame, lake: str, sensor: Sensor) -> tuple[int, str | None]:
-    """Load, then rebuild the touched days. Returns (rows, snapshot status)."""
-    spark = raw.sparkSession
-    owed = pending_days(spark, lake, sensor.name)
-    rows, days = load(raw, lake, sensor, owed)
-    stale = sorted(set(days) | set(owed))
-    status = None
-    if stale:
-        try:
-            refresh_snapshot(spark, lake, sensor.name, stale)
-            status = SUCCESS
-        except Exception as err:  # noqa: BLE001 - the load itself stands, the days stay marked
-            _mark(spark, lake, sensor.name, stale)
-            return rows, _failure(err)
-    _mark(spark, lake, sensor.name, [])
-    return rows, status
+def refresh_owed(spark: SparkSession, lake: str, name: str) -> str | None:
+    """Aggregate the owed days. Returns how that went, ``None`` if nothing was owed."""
+    owed = pending_days(spark, lake, name)
+    if owed is None:
+        return None
+    try:
+        refresh_snapshot(spark, lake, name, owed)
+    except Exception as err:  # noqa: BLE001 - the load itself stands, the days stay marked
+        return _failure(err)
+    _replace(spark.createDataFrame([], tables.DAY_SCHEMA), f"{lake}/pending/{name}")
+    return SUCCESS
 
 
 def run_sensor(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor) -> Run:
     """Load one sensor. Failures are reported in the run, so the other sensors still load."""
     begun, status, rows, snapshot = time.monotonic(), SUCCESS, 0, None
     try:
-        raw = tables.raw_readings(spark, raw_root, sensor)
-        if raw is None:
+        lines = tables.raw_lines(spark, raw_root, sensor)
+        if lines is None:
             status = NO_DATA
         else:
-            rows, snapshot = _load_and_refresh(raw, lake, sensor)
+            rows = load(lines, lake, sensor, "all")
+            snapshot = refresh_owed(spark, lake, sensor.name)
     except Exception as err:  # noqa: BLE001
         status = _failure(err)
     seconds = round(time.monotonic() - begun, 2)
@@ -159,13 +147,29 @@ def run_all(spark: SparkSession, raw_root: str, lake: str, names=None) -> list[R
 
 
 def load_new_files(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor, checkpoint: str) -> None:
-    """The same load over the raw files that arrived since the last call, for an hourly schedule."""
+    """The same load over the raw files that arrived since the last call, for an hourly schedule.
+
+    Days that an earlier call left without aggregates are made up for first. Every batch is logged; a
+    failed load or snapshot is raised after that, and a failed load is taken up again by the next call.
+    """
     prepare(spark)
+    _raise(refresh_owed(spark, lake, sensor.name))
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        _load_and_refresh(batch, lake, sensor)
-
-    stream = spark.readStream.schema(sensor.schema).json(tables.raw_path(raw_root, sensor.name))
+        begun, rows, snapshot, failed = time.monotonic(), 0, None, None
+        try:
+            rows = load(tables.filled(batch), lake, sensor, str(batch_id))
+            snapshot = refresh_owed(spark, lake, sensor.name)
+        except Exception as err:
+            failed = err
+        status = SUCCESS if failed is None else _failure(failed)
+        seconds = round(time.monotonic() - begun, 2)
+        log_runs(spark, lake, [Run(sensor.name, status, rows, snapshot, seconds, datetime.now(timezone.utc))])
+        if failed is not None:
+            raise failed
+        _raise(snapshot)
+
+    stream = spark.readStream.text(tables.raw_path(raw_root, sensor.name))
     query = (
         stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
@@ -173,3 +177,8 @@ def load_new_files(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor
         .start()
     )
     query.awaitTermination()
+
+
+def _raise(snapshot: str | None) -> None:
+    if snapshot not in (None, SUCCESS):
+        raise RuntimeError(f"snapshot {snapshot}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 READINGS = """
 WITH ev AS (
   SELECT event_id, event_type, ts, "value" AS v, user_id,
-    CAST(regexp_extract(props, '"k": *(\\d+)', 1) AS INTEGER) AS k,
+    CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
     ['centre_ville', 'zone_industrielle', 'residentiel', 'peripherie'][CAST(user_id % 4 AS INTEGER) + 1] AS zone,
     make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 60) AS et
   FROM events),
@@ -403,11 +403,30 @@ def build() -> dict[str, str]:
         sql[f"messages_{s}"] = f"{READINGS}\n{typed(s)}"
         sql[f"clean_{s}"] = f"{READINGS},\nkept AS ({cleaned(s)})\n{clean_rows(s)}"
         sql[f"daily_{s}"] = f"{READINGS}\n{daily(s)}"
-    for s in ("pollution", "dechets"):
         sql[f"etl_snapshot_{s}"] = f"{READINGS},\nkept AS ({cleaned(s)})\n{daily(s, 'kept')}"
-    sql["stream_load"] = f"{READINGS},\nkept AS ({cleaned('eclairage')})\n{daily('eclairage', 'kept')}"
-    sql["etl_processed"] = f"""{READINGS},\nkept AS ({cleaned("traffic")})
-SELECT * EXCLUDE (event_id) FROM ({clean_rows("traffic")})"""
+        sql[f"stream_load_{s}"] = sql[f"etl_snapshot_{s}"]
+        sql[f"stream_alerts_{s}"] = f"{READINGS}\nSELECT * FROM ({alerts(s)}) {closed(s)}"
+        sql[f"etl_processed_{s}"] = f"""{READINGS},\nkept AS ({cleaned(s)})
+SELECT * EXCLUDE (event_id) FROM ({clean_rows(s)})"""
+    sql["load_rejects"] = """SELECT s AS sensor, b AS batch, v AS "value", r AS reject_reason
+FROM (VALUES ('pollution'), ('traffic')) AS t(s), (VALUES (0, 'not json', 'unreadable'), (0, '{"device_id":"d","timestamp":"12:30"}', 'bad_time'),
+  (0, '{"timestamp":"2024-01-01T00:00:00Z"}', 'no_device'), (0, '[1]', 'unreadable'), (1, '{"device_id":"d","timestamp":"12:30"}', 'bad_time'),
+  (1, '{"timestamp":"2024-01-01T00:00:00Z"}', 'no_device'), (1, '[1]', 'unreadable')) AS u(b, v, r)"""
+    halves = " UNION ALL ".join(
+        f"SELECT '{s}' AS s, event_id % 2 AS part, count(*) AS n FROM k_{s} GROUP BY ALL" for s in ("eclairage", "dechets")
+    )
+    sql["load_run_log"] = f"""{READINGS}, k_eclairage AS ({cleaned("eclairage")}), k_dechets AS ({cleaned("dechets")})
+SELECT s AS sensor_type, 'SUCCESS' AS status, n AS rows_processed, 'SUCCESS' AS snapshot_status FROM ({halves})"""
+    sql["stream_rejects"] = f"""{READINGS},
+m AS ({" UNION ALL ".join(f"SELECT event_id, '{s}' AS s FROM {s}" for s in SENSORS)}),
+r AS (SELECT CASE WHEN event_id % 31 = 0 THEN NULL ELSE s END AS sensor,
+    CASE WHEN event_id % 31 = 0 THEN 'unknown_sensor' WHEN event_id % 23 = 0 OR event_id % 29 = 0 THEN 'unreadable'
+      WHEN event_id % 11 = 7 THEN 'no_device' WHEN event_id % 11 = 9 THEN 'no_time' WHEN event_id % 11 = 8 THEN 'bad_time' END AS reject_reason FROM m)
+SELECT CASE WHEN sensor IS NULL THEN 'other' ELSE 'sensors-' || sensor END AS topic, sensor, reject_reason, count(*) AS nb, count(*) AS nb_textes
+FROM r WHERE reject_reason IS NOT NULL GROUP BY ALL"""
+    sql["stream_lagging_sensor"] = f"""{READINGS}
+SELECT window_start AS debut_fenetre, window_end AS fin_fenetre, zone, alert_level, alert_message, type_capteur, valeur_detectee FROM (
+  {" UNION ALL ".join(f"SELECT {COMMON} FROM ({alerts(s)}) {closed(s)}" for s in ("pollution", "dechets"))})"""
     sql["run_log"] = f"""{READINGS}, k1 AS ({cleaned("pollution")}), k2 AS ({cleaned("traffic")}),
 loaded AS (SELECT 'pollution' AS s, count(*) AS n FROM k1 UNION ALL SELECT 'traffic', count(*) FROM k2)
 SELECT s AS sensor_type, 'SUCCESS' AS status, n AS rows_processed, 'SUCCESS' AS snapshot_status FROM loaded
@@ -425,9 +444,9 @@ SELECT {point_columns}, 'window' AS source FROM both_rows WHERE valeur_detectee
     sql["rule_attribution"] = attribution()
     sql["topic_readings"] = f"{READINGS}\n{wide()}"
     sql["event_times"] = """SELECT event_id,
-  CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN date_trunc('second', ts)
+  CASE event_id % 10 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN date_trunc('second', ts)
     WHEN 4 THEN date_trunc('milliseconds', ts) END AS lenient,
-  CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 4 THEN date_trunc('milliseconds', ts) END AS strict
+  CASE event_id % 10 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 4 THEN date_trunc('milliseconds', ts) END AS strict
 FROM events"""
     sql["rejected_readings"] = f"""{READINGS}
 SELECT event_id, CASE event_id % 7 WHEN 3 THEN 'bad' WHEN 1 THEN NULL WHEN 4 THEN NULL ELSE {iso("ts")} END AS "timestamp",
@@ -467,13 +486,11 @@ SELECT et AS "time", zone, device_id, max(co2_ppm) AS co2_ppm, max(pm25) AS pm25
 SELECT measurement, zone, field, {COLOUR}, count(*) AS nb_points FROM points
 WHERE field IN ('aqi', 'vehicles_per_min', 'fill_percent', 'faulty_count', 'power_kw') GROUP BY ALL"""
     sql["congestion_check"] = f"""{READINGS}
-SELECT CAST(hour(ts) AS INTEGER) AS heure, congestion AS band, hour(ts) < 6 OR hour(ts) > 20 AS nuit,
-  hour(ts) IN (8, 9, 17, 18) AS pointe,
-  CAST(CASE WHEN hour(ts) IN (8, 17) THEN 3.0 WHEN hour(ts) IN (7, 9, 16, 18) THEN 2.0 ELSE 0.8 END AS DOUBLE) AS facteur,
-  count(*) AS nb, CAST(0 AS BIGINT) AS nb_ecarts FROM traffic GROUP BY ALL"""
+SELECT CAST(hour(ts) AS INTEGER) AS heure, congestion AS band, count(*) AS nb,
+  count(*) FILTER (WHERE event_id % 19 = 0 AND congestion <> 'high') AS nb_ecarts FROM traffic GROUP BY ALL"""
     sql["bin_check"] = f"""{READINGS}
 SELECT zone, CASE WHEN fill_percent > 90 THEN 'true' ELSE 'false' END AS plein, count(*) AS nb,
-  CAST(0 AS BIGINT) AS nb_ecarts FROM dechets GROUP BY ALL"""
+  count(*) FILTER (WHERE event_id % 17 = 0 AND fill_percent <= 90) AS nb_ecarts FROM dechets GROUP BY ALL"""
     sql["dash_aqi_latest"] = f"{bucketed('pollution', ('aqi',), '15 MINUTE', 1)}\n{panel_rows('latest')}"
     sql["dash_traffic_ts"] = f"{bucketed('traffic', ('vehicles_per_min',), '30 MINUTE', 1)}\n{panel_rows('means')}"
     label = "CASE field WHEN 'co2_ppm' THEN 'CO₂ (ppm)' ELSE 'PM2.5 (µg/m³)' END AS label"
@@ -521,17 +538,23 @@ SELECT {ARRIVAL} AS "time", zone, alert_level AS niveau, type_capteur AS "type",
     sql["stream_incidents"] = incidents(
         "WHERE resolu <= (SELECT max(window_start) FROM alerts) - INTERVAL 5 MINUTE"
     )
-    for s in ("pollution", "eclairage"):
-        sql[f"stream_alerts_{s}"] = f"{READINGS}\nSELECT * FROM ({alerts(s)}) {closed(s)}"
     sql["stream_alert_log"] = f"""{READINGS}
 SELECT window_start AS debut_fenetre, window_end AS fin_fenetre, zone, alert_level, alert_message, type_capteur,
   valeur_detectee FROM ({alerts("dechets")}) {closed("dechets")}"""
-    newest = "(SELECT max(et) FROM ev WHERE event_type <> 'signup')"
-    closed_trends = " UNION ALL ".join(
-        f"SELECT window_start, window_end, zone, alert_level, type_capteur, valeur_detectee FROM ({trends(s)})" for s in SENSORS
+    # Every sensor has a watermark of its own.
+    stream_rows = " UNION ALL ".join(
+        f"SELECT {COMMON} FROM ({alerts(s)}) {closed(s)} UNION ALL SELECT window_start, window_end, zone, alert_level, NULL, "
+        f"type_capteur, valeur_detectee FROM ({trends(s)}) {closed(s, 15)}"
+        for s in SENSORS
     )
-    sql["stream_pipeline_points"] = f"""{ALERTS}, trends AS ({closed_trends})
-SELECT {point_columns} FROM alerts WHERE window_end <= {newest} - INTERVAL 5 MINUTE
-UNION ALL SELECT {point_columns} FROM trends WHERE window_end <= {newest} - INTERVAL 15 MINUTE"""
+    sql["stream_pipeline_points"] = f"{READINGS}\nSELECT {point_columns} FROM ({stream_rows})"
+    for name in ("dash_aqi_latest", "dash_traffic_ts", "dash_pollution_ts", "dash_fill_latest", "dash_lighting_latest"):
+        sql[f"{name}_stored"] = sql[name]
+    # Stored alerts come from all windows, also those that begin before the newest two hours of readings.
+    sql["dash_active_alerts_stored"] = f"""{ALERTS}, clock AS (SELECT max(et) AS now FROM ev),
+active AS (SELECT window_start, zone, alert_level, type_capteur, valeur_detectee FROM alerts, clock
+  WHERE window_start >= now - INTERVAL 2 HOUR AND window_start < now AND valeur_detectee IS NOT NULL)
+SELECT {ACTIVE_COLUMNS} FROM active
+QUALIFY row_number() OVER (PARTITION BY zone, alert_level, type_capteur ORDER BY window_start DESC) <= 50"""
     sql["stream_landing"] = f"{READINGS}\nSELECT * EXCLUDE (event_time) FROM ({typed('dechets')})"
     return sql

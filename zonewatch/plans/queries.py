@@ -7,6 +7,7 @@ down with the order of summation.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,9 @@ from zonewatch.operators import alerts as ops
 from zonewatch.operators import bridge, clean, daily, dashboard, history, parse, points, windows
 from zonewatch.plans import etl, report, testbed
 from zonewatch.sensors import SENSORS, chosen, wide_schema
-from zonewatch.session import prepare, run_dir
+from zonewatch.session import prepare, run_dir, stored
 from zonewatch.settings import TOPIC_PREFIX
+from zonewatch.sources import streams
 from zonewatch.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,18 +87,22 @@ def sent(body: Column) -> Column:
     return F.explode(F.array(body)).alias("value")
 
 
+def led(body: Column) -> Column:
+    """A message body after the white space that JSON allows before it."""
+    return F.concat(F.element_at(F.array(*[F.lit(x) for x in ("", "\n", "\t", " \r\n ")]), (F.col("event_id") % 4 + 1).cast("int")), body)
+
+
 def topic_messages(spark, sf_dir) -> DataFrame:
     """All readings as messages on their topics, and other events on a topic nobody reads."""
     rows = testbed.readings(spark, sf_dir)
     body = F.to_json(F.struct(*wide_schema().fieldNames()))
-    ours = rows.select("event_id", F.concat(F.lit(f"{TOPIC_PREFIX}-"), F.col("sensor")).alias("topic"), sent(body))
+    ours = rows.select("event_id", F.concat(F.lit(f"{TOPIC_PREFIX}-"), F.col("sensor")).alias("topic"), sent(led(body)))
     others = testbed.events(spark, sf_dir).filter(F.col("event_type") == "signup")
     return ours.unionByName(others.select("event_id", F.lit("other").alias("topic"), F.col("props").alias("value")))
 
 
 def topic_readings(spark, sf_dir):
-    sensor = routing.sensor_of_topic(F.col("topic"), TOPIC_PREFIX)
-    return outward(parse.decode_any(topic_messages(spark, sf_dir), sensor, keep=("event_id",)))
+    return outward(streams.from_topics(topic_messages(spark, sf_dir), keep=("event_id",)))
 
 
 def sensor_messages(name: str) -> Query:
@@ -111,16 +117,20 @@ def sensor_messages(name: str) -> Query:
 
 
 def time_texts(spark, sf_dir) -> DataFrame:
-    """Event times written in six ways."""
+    """Event times written in ten ways; those without a date, or without a time, are no event times."""
     rows = testbed.events(spark, sf_dir)
     ts = F.col("ts").cast("timestamp")
-    way = F.col("event_id") % 6
+    way = F.col("event_id") % 10
     text = (
         F.when(way == 0, times.message_text(ts))
         .when(way == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
         .when(way == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX"))
         .when(way == 3, F.lit("bad"))
         .when(way == 4, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSxxx"))
+        .when(way == 6, F.date_format(ts, "HH:mm"))
+        .when(way == 7, F.date_format(ts, "yyyy"))
+        .when(way == 8, F.date_format(ts, "yyyy-MM"))
+        .when(way == 9, F.date_format(ts, "yyyy-MM-dd"))
     )
     return rows.select("event_id", text.alias("text"))
 
@@ -168,14 +178,18 @@ def incremental_ingest(spark, sf_dir):
 # -- batch load -------------------------------------------------------------------------------
 
 
-def land_raw(spark: SparkSession, sf_dir: str, names=ALL) -> str:
-    """Readings with gaps and copies as raw JSON files, a folder per sensor."""
-    root = run_dir(spark, "raw")
+def land_raw(spark: SparkSession, sf_dir: str, names=ALL, where: str = "true", root: str | None = None) -> str:
+    """Readings with gaps and copies as raw JSON files, a folder per sensor. Counts are written as 12.0 on
+    every seventh row. ``where`` chooses the rows by ``event_id``."""
+    root = root or run_dir(spark, "raw")
     for name in names:
         sensor = SENSORS[name]
-        rows = testbed.with_gaps(testbed.readings(spark, sf_dir, name, clock="calendar"), sensor)
-        body = F.col("value").cast("string").alias("value")
-        testbed.messages(rows, sensor).select(body).write.text(f"{root}/{name}")
+        rows = testbed.with_gaps(testbed.readings(spark, sf_dir, name, clock="calendar"), sensor).filter(where)
+        counts = [f.name for f in sensor.fields if f.dataType.simpleString() == "int"]
+        body = F.col("value").cast("string")
+        for count in counts:
+            body = F.when(F.col("event_id") % 7 == 0, F.regexp_replace(body, f'("{count}":[0-9]+)', "$1.0")).otherwise(body)
+        testbed.messages(rows, sensor).select(body.alias("value")).write.mode("append").text(f"{root}/{name}")
     return root
 
 
@@ -193,10 +207,18 @@ def etl_snapshot(name: str) -> Query:
     return query
 
 
-def etl_processed(spark, sf_dir):
-    raw, lake = land_raw(prepare(spark), sf_dir, ("traffic",)), run_dir(spark, "lake")
-    etl.run_all(spark, raw, lake, ("traffic",))
-    return etl.tables.processed(spark, lake, "traffic")
+def etl_processed(name: str) -> Query:
+    def query(spark, sf_dir):
+        raw, lake = land_raw(prepare(spark), sf_dir, (name,)), run_dir(spark, "lake")
+        etl.run_all(spark, raw, lake, (name,))
+        return etl.tables.processed(spark, lake, name)
+
+    return query
+
+
+def logged(spark: SparkSession, lake: str) -> DataFrame:
+    log = etl.tables.table(spark, f"{lake}/run_log")
+    return log.select("sensor_type", "status", "rows_processed", "snapshot_status")
 
 
 def run_log(spark, sf_dir):
@@ -204,8 +226,7 @@ def run_log(spark, sf_dir):
     raw, lake = land_raw(prepare(spark), sf_dir, ("pollution", "traffic")), run_dir(spark, "lake")
     for _ in range(2):
         etl.run_all(spark, raw, lake)
-    log = etl.tables.table(spark, f"{lake}/run_log")
-    return log.select("sensor_type", "status", "rows_processed", "snapshot_status")
+    return logged(spark, lake)
 
 
 def daily_of(name: str) -> Query:
@@ -219,17 +240,25 @@ def daily_of(name: str) -> Query:
 # -- history ----------------------------------------------------------------------------------
 
 
+def bases(spark: SparkSession, sf_dir: str) -> history.Bases:
+    """Sums of both sensors, each from one scan of its readings."""
+    air = history.pollution_base(testbed.stored(spark, sf_dir, "pollution"))
+    cars = history.traffic_base(testbed.stored(spark, sf_dir, "traffic"))
+    return history.Bases(stored(air, "pollution-base"), stored(cars, "traffic-base"))
+
+
 def ranking(spark, sf_dir):
-    return history.pollution_by_zone(testbed.stored(spark, sf_dir, "pollution"))
+    return history.pollution_by_zone(history.pollution_base(testbed.stored(spark, sf_dir, "pollution")))
 
 
 def profile(spark, sf_dir):
-    return history.traffic_by_hour(testbed.stored(spark, sf_dir, "traffic"))
+    return history.traffic_by_hour(history.traffic_base(testbed.stored(spark, sf_dir, "traffic")))
 
 
 def paired(spark, sf_dir):
     return history.traffic_pollution_daily(
-        testbed.stored(spark, sf_dir, "pollution"), testbed.stored(spark, sf_dir, "traffic")
+        history.pollution_base(testbed.stored(spark, sf_dir, "pollution")),
+        history.traffic_base(testbed.stored(spark, sf_dir, "traffic")),
     )
 
 
@@ -263,8 +292,7 @@ def traffic_pollution_corr(spark, sf_dir):
 
 
 def facts(spark, sf_dir):
-    corr = history.traffic_pollution_corr(paired(spark, sf_dir))
-    return history.report_facts(ranking(spark, sf_dir), profile(spark, sf_dir), corr)
+    return history.facts_of(bases(spark, sf_dir))
 
 
 def report_facts(spark, sf_dir):
@@ -314,7 +342,7 @@ def untidy_messages(spark, sf_dir) -> DataFrame:
     fields["status"] = F.when(way == 5, F.lit(None).cast("string")).otherwise(F.upper("status"))
     body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
     value = F.when(F.col("event_id") % 23 == 0, "[1]").when(F.col("event_id") % 29 == 0, "{bad").otherwise(body)
-    return rows.select("event_id", "sensor", sent(value), F.col("event_time").alias("arrival"))
+    return rows.select("event_id", "sensor", sent(led(value)), F.col("event_time").alias("arrival"))
 
 
 def points_lenient(spark, sf_dir):
@@ -336,6 +364,41 @@ def panel(build, name: str, back: str, fields: tuple[str, ...], *means: str) ->
     return query
 
 
+def stored_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """(the points that the stream stored, by measurement and day; the newest time as ``now``)."""
+    out = run_dir(spark, "points")
+    rows = stream_readings(spark, sf_dir, *ALL)
+    jobs.drain(jobs.reading_points(rows, chosen(ALL), f"{out}/points", f"{out}/state", ONCE))
+    now = testbed.events(spark, sf_dir).agg(F.max("ts")).select(testbed.dense(F.col("max(ts)"))).first()[0]
+    return prepare(spark).read.parquet(f"{out}/points"), F.lit(now).cast("timestamp")
+
+
+def stored_panel(build, *means: str) -> Query:
+    def query(spark, sf_dir):
+        points_table, now = stored_points(spark, sf_dir)
+        return outward(build(points_table, now), *means)
+
+    return query
+
+
+def stored_alerts(spark, sf_dir) -> tuple[DataFrame, Column]:
+    """(alert points as the pipeline stores them, older days compacted; the newest time)."""
+    out = run_dir(spark, "points")
+    found = points.alert_points(alerts_of(spark, sf_dir))
+    now = testbed.events(spark, sf_dir).agg(F.max("ts")).select(testbed.dense(F.col("max(ts)"))).first()[0]
+    for batch_id, late in ((0, False), (1, True), (1, True)):
+        part = found.filter((F.col("time") >= F.lit(now) - F.expr("INTERVAL 3 hours")) == F.lit(late))
+        sinks.write_batch(part, f"{out}/live", "alerts", batch_id)
+    horizon = now.date()
+    sinks.compact_points(spark, f"{out}/live", f"{out}/old", horizon)
+    return sinks.all_points(spark, f"{out}/live", f"{out}/old", horizon), F.lit(now).cast("timestamp")
+
+
+def dash_active_alerts_stored(spark, sf_dir):
+    found, now = stored_alerts(spark, sf_dir)
+    return outward(dashboard.alert_table(dashboard.newest_per_series(dashboard.active_alerts(found, now))))
+
+
 def active(spark, sf_dir) -> DataFrame:
     rows, now = testbed.recent(spark, sf_dir, "2 hours", *ALL)
     found = points.alert_points(windows.alerts(rows, chosen(ALL)))
@@ -361,21 +424,19 @@ def threshold_bands(spark, sf_dir):
 
 
 def congestion_check(spark, sf_dir):
-    """Carried congestion against the band of the count, with the hour's night and rush marks."""
+    """Carried congestion, wrong on every 19th reading, against the band of the count."""
+    carried = F.when(F.col("event_id") % 19 == 0, "high").otherwise(F.col("congestion"))
     rows = testbed.stored(spark, sf_dir, "traffic").withColumn("band", bands.congestion(F.col("vehicles_per_min")))
-    hour = F.col("heure")
-    return rows.groupBy(
-        "heure",
-        "band",
-        bands.is_night(hour).alias("nuit"),
-        bands.pollution_rush(hour).alias("pointe"),
-        bands.traffic_factor(hour).alias("facteur"),
-    ).agg(F.count(F.lit(1)).alias("nb"), F.count_if(F.col("band") != F.col("congestion")).alias("nb_ecarts"))
+    return rows.withColumn("congestion", carried).groupBy("heure", "band").agg(
+        F.count(F.lit(1)).alias("nb"), F.count_if(F.col("band") != F.col("congestion")).alias("nb_ecarts")
+    )
 
 
 def bin_check(spark, sf_dir):
+    """The carried full-bin mark, wrong on every 17th reading, against the fill level."""
+    carried = F.when(F.col("event_id") % 17 == 0, "true").otherwise(F.col("alert"))
     rows = testbed.stored(spark, sf_dir, "dechets").withColumn("plein", bands.bin_full(F.col("fill_percent")))
-    return rows.groupBy("zone", "plein").agg(
+    return rows.withColumn("alert", carried).groupBy("zone", "plein").agg(
         F.count(F.lit(1)).alias("nb"), F.count_if(F.col("plein") != F.col("alert")).alias("nb_ecarts")
     )
 
@@ -384,18 +445,22 @@ def bin_check(spark, sf_dir):
 
 
 def hub_rows(source: DataFrame) -> DataFrame:
-    """Hub events: a third without a hub id, a third with ``unknown``, the rest in upper case."""
+    """Hub events with message headers: a third without a hub id, a third with ``unknown``, the rest in upper case."""
     parts = {kind: SENSORS[name].device_prefix for name, kind in testbed.EVENT_TYPES.items()}
     prefix = F.lit("other")
     for kind, part in parts.items():
         prefix = F.when(F.col("event_type") == kind, part).otherwise(prefix)
     device = F.concat(prefix, F.lit("_"), testbed.zone_of(F.col("user_id")))
     way = F.col("event_id") % 3
-    return source.select(
+    hub_id = F.when(way == 0, F.upper(device)).otherwise("unknown").cast("binary").alias("value")
+    other = F.struct(F.lit("content-type").alias("key"), F.lit("json").cast("binary").alias("value"))
+    named = F.struct(F.lit(streams.HUB_DEVICE_HEADER).alias("key"), hub_id)
+    events = source.select(
         "event_id",
         F.to_json(F.struct(device.alias("device_id"), F.col("value"))).alias("value"),
-        F.when(way == 0, F.upper(device)).when(way == 1, "unknown").alias("hub_device_id"),
+        F.when(way == 2, F.array(other)).otherwise(F.array(other, named)).alias("headers"),
     )
+    return streams.hub_device(events, keep=("event_id",))
 
 
 def device_routing(spark, sf_dir):
@@ -455,9 +520,13 @@ def alert_incidents(spark, sf_dir):
 ONCE = {"availableNow": True}
 
 
+def backfill(spark: SparkSession) -> SparkSession:
+    """A stream session as wide as the session's own shuffles: a query takes a whole table in one micro-batch."""
+    return jobs.stream_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stream_readings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    own = jobs.stream_session(spark, backfill=True)
-    return testbed.as_readings(testbed.event_stream(own, sf_dir), chosen(names))
+    return testbed.as_readings(testbed.event_stream(backfill(spark), sf_dir), chosen(names))
 
 
 def stream_alerts(name: str) -> Query:
@@ -485,6 +554,37 @@ def stream_pipeline_points(spark, sf_dir):
     return outward(found.select("time", "zone", "niveau", "type", "valeur"))
 
 
+def stream_lagging_sensor(spark, sf_dir):
+    """Alerts of two sensors, one of which is read three hours behind the other: files of three hours
+    each, a file per micro-batch. Each sensor has a watermark of its own, so none of the slow one's alerts is lost."""
+    out, names = run_dir(spark, "stream"), ("pollution", "dechets")
+    rows = testbed.readings(prepare(spark), sf_dir, *names)
+    step = F.floor((F.unix_micros("event_time") - F.lit(testbed.EPOCH)) / F.lit(3 * 3_600_000_000))
+    turn = (step + F.when(F.col("sensor") == "dechets", 1).otherwise(0)).cast("int")
+    # Spark reads files in the order of their times, so they are written one turn after another.
+    for (number,) in sorted(rows.select(turn.alias("t")).distinct().collect()):
+        rows.filter(turn == number).coalesce(1).write.parquet(f"{out}/in/turn={number:03d}")
+    own = backfill(spark)
+    stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{out}/in/*")
+    where = (f"{out}/points", f"{out}/state")
+    started = jobs.alert_pipeline(stream, chosen(names), *where, message_fmt="text", message_options={"path": f"{out}/log"}, trigger=ONCE)
+    for query in started:
+        jobs.drain(query)
+    return outward(ops.unpacked(prepare(spark).read.text(f"{out}/log")))
+
+
+def stream_rejects(spark, sf_dir):
+    """Untidy messages on the topics of a stream: what gives no reading, with its raw text and reason."""
+    out = run_dir(spark, "stream")
+    topic = F.concat(F.lit(f"{TOPIC_PREFIX}-"), F.col("sensor"))
+    lost = untidy_messages(spark, sf_dir).select("event_id", F.when(F.col("event_id") % 31 == 0, "other").otherwise(topic).alias("topic"), "value")
+    lost.write.parquet(f"{out}/in")
+    stream = backfill(spark).readStream.schema(lost.schema).parquet(f"{out}/in")
+    jobs.drain(jobs.reject_log(stream, f"{out}/rejects", f"{out}/state", trigger=ONCE))
+    found = prepare(spark).read.parquet(f"{out}/rejects")
+    return found.groupBy("topic", "sensor", "reject_reason").agg(F.count(F.lit(1)).alias("nb"), F.count("value").alias("nb_textes"))
+
+
 def stream_alert_log(spark, sf_dir):
     """Alert messages written as JSON text by the stream, parsed back."""
     out = run_dir(spark, "stream")
@@ -504,20 +604,15 @@ def stream_points(spark, sf_dir):
 def published_alerts(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
     """A stream of alert records over messages published by the batch pipeline."""
     ops.packed(records_of(spark, sf_dir)).write.text(f"{out}/topic")
-    own = jobs.stream_session(spark, backfill=True)
-    return ops.unpacked(own.readStream.text(f"{out}/topic"))
+    return ops.unpacked(backfill(spark).readStream.text(f"{out}/topic"))
 
 
 def stream_alert_counts(spark, sf_dir):
-    out = run_dir(spark, "stream")
-    counted = ops.counts(published_alerts(spark, sf_dir, out))
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/counts")
-
-    writer = counted.writeStream.outputMode("complete").foreachBatch(keep).trigger(**ONCE)
-    jobs.drain(writer.option("checkpointLocation", f"{out}/state").start())
-    return spark.read.parquet(f"{out}/counts")
+    """Running counts of the job, kept in memory (as it refreshes them for a display) and read at the end."""
+    out, name = run_dir(spark, "stream"), "counts_" + uuid.uuid4().hex
+    records = published_alerts(spark, sf_dir, out)
+    jobs.drain(jobs.alert_counts(records, "memory", name, f"{out}/state", trigger=ONCE))
+    return records.sparkSession.table(name)
 
 
 def stream_incidents(spark, sf_dir):
@@ -531,7 +626,7 @@ def stream_incidents(spark, sf_dir):
 def stream_bridge(spark, sf_dir):
     """Device events through the bridge into topic folders; messages per topic."""
     out = run_dir(spark, "stream")
-    source = hub_rows(testbed.event_stream(jobs.stream_session(spark, backfill=True), sf_dir))
+    source = hub_rows(testbed.event_stream(backfill(spark), sf_dir))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(f"{out}/topics/batch={batch_id}")
@@ -553,11 +648,43 @@ def stream_landing(spark, sf_dir):
     return etl.tables.raw_readings(prepare(spark), f"{out}/raw", SENSORS["dechets"])
 
 
-def stream_load(spark, sf_dir):
-    """Raw files loaded by the incremental job; the stored daily aggregates."""
-    raw, lake = land_raw(prepare(spark), sf_dir, ("eclairage",)), run_dir(spark, "lake")
-    etl.load_new_files(spark, raw, lake, SENSORS["eclairage"], f"{lake}/state")
-    return outward(etl.tables.aggregated(spark, lake, "eclairage"), "avg_luminosity_lux", "avg_power_kw")
+SPOILED = ("not json", '{"device_id":"d","timestamp":"12:30"}', '{"timestamp":"2024-01-01T00:00:00Z"}', "[1]")
+
+
+def loaded_twice(spark: SparkSession, sf_dir: str, names=ALL) -> str:
+    """Raw files that arrive in two parts, each with lines that cannot be stored, through the incremental job."""
+    raw, lake = run_dir(prepare(spark), "raw"), run_dir(spark, "lake")
+    for part in (0, 1):
+        land_raw(spark, sf_dir, names, f"event_id % 2 = {part}", raw)
+        for name in names:
+            bad = [(line,) for line in SPOILED[part:]]
+            spark.createDataFrame(bad, "value string").coalesce(1).write.mode("append").text(f"{raw}/{name}")
+            etl.load_new_files(spark, raw, lake, SENSORS[name], f"{lake}/state/{name}")
+    return lake
+
+
+def stream_load(name: str) -> Query:
+    """The stored daily aggregates after two incremental loads."""
+
+    def query(spark, sf_dir):
+        found = etl.tables.aggregated(spark, loaded_twice(spark, sf_dir, (name,)), name)
+        means = [alias for alias, call, _ in SENSORS[name].daily if call == "avg"]
+        return outward(found, *means)
+
+    return query
+
+
+def load_rejects(spark, sf_dir):
+    """Rejects of both loads, with their raw text."""
+    lake, parts = loaded_twice(spark, sf_dir, ("pollution", "traffic")), []
+    for name in ("pollution", "traffic"):
+        parts.append(prepare(spark).read.parquet(f"{lake}/rejects/{name}").select(F.lit(name).alias("sensor"), "batch", "value", "reject_reason"))
+    return parts[0].unionByName(parts[1])
+
+
+def load_run_log(spark, sf_dir):
+    """The run log of the incremental job: a row per batch."""
+    return logged(spark, loaded_twice(spark, sf_dir, ("eclairage", "dechets")))
 
 
 def registry() -> dict[str, Query]:
@@ -568,11 +695,13 @@ def registry() -> dict[str, Query]:
         found[f"messages_{name}"] = sensor_messages(name)
         found[f"clean_{name}"] = clean_readings(name)
         found[f"daily_{name}"] = daily_of(name)
-    found["etl_snapshot_pollution"] = etl_snapshot("pollution")
-    found["etl_snapshot_dechets"] = etl_snapshot("dechets")
+        found[f"etl_snapshot_{name}"] = etl_snapshot(name)
+        found[f"etl_processed_{name}"] = etl_processed(name)
+        found[f"stream_alerts_{name}"] = stream_alerts(name)
+        found[f"stream_load_{name}"] = stream_load(name)
     plain = (
         all_alerts_union, alert_json, alert_and_trend_points, rule_attribution,
-        topic_readings, event_times, rejected_readings, incremental_ingest, etl_processed, run_log,
+        topic_readings, event_times, rejected_readings, incremental_ingest, run_log,
         pollution_by_zone, zone_extremes, traffic_by_hour, peak_hour, hour_table_head,
         traffic_pollution_daily, traffic_pollution_corr, report_facts, report_recommendations,
         report_from_lake,
@@ -580,13 +709,12 @@ def registry() -> dict[str, Query]:
         dash_active_alerts, dash_active_alerts_top50, device_routing, dead_letters,
         routed_alerts, notification_outbox, alert_display, alert_counts, alert_latency,
         alert_arrival_points, alert_incidents,
-        stream_pipeline_points, stream_alert_log, stream_points, stream_alert_counts, stream_incidents,
-        stream_bridge, stream_landing, stream_load,
+        dash_active_alerts_stored, load_rejects, load_run_log,
+        stream_pipeline_points, stream_lagging_sensor, stream_rejects, stream_alert_log, stream_points,
+        stream_alert_counts, stream_incidents, stream_bridge, stream_landing,
     )
     for query in plain:
         found[query.__name__] = query
-    found["stream_alerts_pollution"] = stream_alerts("pollution")
-    found["stream_alerts_eclairage"] = stream_alerts("eclairage")
     found["dash_aqi_latest"] = panel(dashboard.aqi_panel, "pollution", "15 minutes", ("aqi",), "value")
     found["dash_traffic_ts"] = panel(dashboard.traffic_panel, "traffic", "30 minutes", ("vehicles_per_min",), "value")
     found["dash_pollution_ts"] = panel(
@@ -596,4 +724,13 @@ def registry() -> dict[str, Query]:
     found["dash_lighting_latest"] = panel(
         dashboard.lighting_panel, "eclairage", "30 minutes", ("faulty_count", "power_kw"), "value"
     )
+    stored_panels = {
+        "dash_aqi_latest": dashboard.aqi_panel,
+        "dash_traffic_ts": dashboard.traffic_panel,
+        "dash_pollution_ts": dashboard.pollution_panel,
+        "dash_fill_latest": dashboard.fill_panel,
+        "dash_lighting_latest": dashboard.lighting_panel,
+    }
+    for name, build in stored_panels.items():
+        found[f"{name}_stored"] = stored_panel(build, "value")
     return found

@@ -38,6 +38,11 @@ def build(spark: SparkSession, lake: str) -> Report:
         return tables.table_or_none(spark, f"{lake}/processed/{name}", schema(tables.SENSORS[name]))
 
     pollution, traffic = stored("pollution"), stored("traffic")
+    # Each history is read once, into sums per day; everything below is made from those.
+    if pollution is not None:
+        pollution = write_summary(spark, history.pollution_base(pollution), lake, "pollution_base")
+    if traffic is not None:
+        traffic = write_summary(spark, history.traffic_base(traffic), lake, "traffic_base")
     ranking = profile = paired = None
     if pollution is not None:
         ranking = write_summary(spark, history.pollution_by_zone(pollution), lake, "pollution_by_zone")

@@ -67,6 +67,7 @@ def _text(name: str) -> StructField:
     return StructField(name, StringType())
 
 
+# Field names of the messages, and the names that windows, daily tables and points carry.
 POLLUTION = Sensor(
     name="pollution",
     fields=(_number("co2_ppm"), _number("pm25"), _count("air_quality_index")),

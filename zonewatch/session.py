@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: dates, hours and ISO texts must not depend on the machine."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the session zone: dates, hours and ISO texts must not depend on the machine. Times are written
+    in a form that carries statistics, so that scans skip files and row groups by time."""
+    for name, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")):
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -27,6 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="zonewatch-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
@@ -36,19 +41,8 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-GROUPS_PER_STATE_PARTITION = 50_000
-
-
-def state_partitions(spark: SparkSession, zones: int, backfill: bool = False) -> int:
-    """Shuffle width for a stateful query over ``zones`` zones.
-
-    It is fixed for the life of a checkpoint, and every partition commits a state store per
-    micro-batch. What is shuffled are partial aggregates, so the width of a live stream follows the
-    number of open groups (zones x sensors x windows under the watermark), not the readings.
-    A backfill takes a whole history in one micro-batch and uses all cores instead.
-    """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if backfill:
-        return max(1, min(configured, spark.sparkContext.defaultParallelism))
-    open_groups = zones * 4 * 10
-    return max(1, min(configured, max(2, -(-open_groups // GROUPS_PER_STATE_PARTITION))))
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, read as often as needed."""
+    path = run_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

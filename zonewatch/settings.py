@@ -136,10 +136,6 @@ ALERT_TABLE_LABELS = {
 # Bands carried inside readings.
 CONGESTION_STEPS = ("low", ((40, "medium"), (70, "high"), (100, "critical")))
 FULL_BIN_ABOVE = 90
-NIGHT_BEFORE, NIGHT_AFTER = 6, 20
-POLLUTION_RUSH_HOURS = (8, 9, 17, 18)
-TRAFFIC_FACTORS = (((8, 17), 3.0), ((7, 9, 16, 18), 2.0))
-TRAFFIC_BASE_FACTOR = 0.8
 
 # Device name parts per sensor, tested in this order.
 DEVICE_PARTS = (

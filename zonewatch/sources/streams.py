@@ -45,9 +45,9 @@ def all_topics(spark: SparkSession, servers: str, prefix: str = settings.TOPIC_P
     return from_topics(messages(spark, "kafka", kafka_options(servers, topics)), prefix, text)
 
 
-def from_topics(stream: DataFrame, prefix: str = settings.TOPIC_PREFIX, text: bool = False) -> DataFrame:
-    """Readings from messages with a ``topic``; other topics and non-objects are skipped."""
-    return parse.decode_any(stream, routing.sensor_of_topic(F.col("topic"), prefix), text)
+def from_topics(stream: DataFrame, prefix: str = settings.TOPIC_PREFIX, text: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Readings from messages with a ``topic``; other topics and non-objects are left to ``parse.unread``."""
+    return parse.decode_any(stream, routing.sensor_of_topic(F.col("topic"), prefix), text, keep)
 
 
 def alert_messages(spark: SparkSession, servers: str, prefix: str = settings.TOPIC_PREFIX, group: str | None = None):
@@ -61,8 +61,8 @@ def hub_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return hub_device(messages(spark, "kafka", kafka_options(servers, topic, includeHeaders="true")))
 
 
-def hub_device(events: DataFrame) -> DataFrame:
-    """``value`` and ``hub_device_id``, taken from the message headers; null when there is none."""
+def hub_device(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``, ``value`` and ``hub_device_id``, taken from the message headers; null when there is none."""
     header = F.filter("headers", lambda h: h["key"] == HUB_DEVICE_HEADER)
     device = F.try_element_at(header, F.lit(1))["value"].cast("string")
-    return events.select("value", device.alias("hub_device_id"))
+    return events.select(*keep, "value", device.alias("hub_device_id"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
+from zonewatch.operators import parse
 from zonewatch.sensors import SENSORS, Sensor
 
+DAY_SCHEMA = "date_partition date"
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -25,10 +28,21 @@ def raw_path(root: str, sensor: str) -> str:
     return f"{root}/{{{sensor},sensor_type={sensor}}}/*"
 
 
+def raw_lines(spark: SparkSession, root: str, sensor: Sensor) -> DataFrame | None:
+    """Raw lines (``value``) of one sensor's files, blank ones left out; ``None`` if there are none."""
+    found = _or_none(lambda: spark.read.text(raw_path(root, sensor.name)))
+    lines = None if found is None else filled(found)
+    return None if lines is None or lines.isEmpty() else lines
+
+
+def filled(lines: DataFrame) -> DataFrame:
+    return lines.select("value").filter(F.trim("value") != "")
+
+
 def raw_readings(spark: SparkSession, root: str, sensor: Sensor) -> DataFrame | None:
-    """Raw JSON readings under the fixed schema, so no pass infers one; ``None`` if there are none."""
-    found = _or_none(lambda: spark.read.schema(sensor.schema).json(raw_path(root, sensor.name)))
-    return None if found is None or found.isEmpty() else found
+    """Raw readings under the sensor's fixed schema; ``None`` if there are none."""
+    lines = raw_lines(spark, root, sensor)
+    return None if lines is None else parse.decode_lines(lines, sensor).drop("value", "bad_number")
 
 
 def processed_schema(sensor: Sensor) -> StructType:

@@ -1,4 +1,4 @@
-"""Streaming jobs. A pipeline is two queries, alerts and trends, each over all its sensors."""
+"""Streaming jobs. A pipeline is two queries per sensor, alerts and trends."""
 
 from __future__ import annotations
 
@@ -8,22 +8,29 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from zonewatch import settings
 from zonewatch.operators import alerts as ops
-from zonewatch.operators import bridge, points, windows
+from zonewatch.functions import routing
+from zonewatch.operators import bridge, parse, points, windows
 from zonewatch.sensors import Sensor
-from zonewatch.session import prepare, state_partitions
+from zonewatch.session import prepare
 from zonewatch.streaming import sinks
 
 
+#: A folder per micro-batch is replaced as a whole, whatever the session's own mode is.
+STATIC = ("partitionOverwriteMode", "static")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(
-    spark: SparkSession, zones: int = len(settings.ZONES), backfill: bool = False
-) -> SparkSession:
-    """A session of its own for stateful queries: their shuffle width is fixed at the first start, and
-    their state is kept off the heap, with only its changes written per micro-batch."""
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of its own for stateful queries; their state is kept off the heap, with only its changes
+    written per micro-batch.
+
+    ``state_partitions`` is their shuffle width, fixed in the checkpoint at the first start. Every
+    partition commits a state store per micro-batch, so a live stream takes as many as its open groups
+    (zones x windows under the watermark) need, a few for some thousand zones, and a backfill,
+    which holds a whole history in one micro-batch, as many as the cluster has cores.
+    """
     own = prepare(spark.newSession())
-    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark, zones, backfill)))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return own
@@ -34,7 +41,7 @@ def _start(writer: DataStreamWriter, name: str, trigger: dict | None) -> Streami
 
 
 def alert_pipeline(
-    readings: DataFrame,
+    readings: DataFrame | dict[str, DataFrame],
     sensors: tuple[Sensor, ...],
     point_path: str,
     checkpoint: str,
@@ -43,24 +50,38 @@ def alert_pipeline(
     show: bool = False,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Alerts to messages and points, trends to points."""
-    alert_rows, trend_rows = windows.alert_pipeline(readings, sensors)
-    outputs = [sinks.point_batches(point_path, "alerts")]
-    if message_options is not None:
-        outputs.insert(0, sinks.message_batches(message_fmt, message_options))
-    if show:
-        outputs.append(sinks.show_batches())
-    alert_writer = (
-        alert_rows.writeStream.foreachBatch(sinks.fan_out(*outputs))
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/alerts")
-    )
-    trend_writer = (
-        trend_rows.writeStream.foreachBatch(sinks.fan_out(sinks.point_batches(point_path, "trends")))
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/trends")
-    )
-    return [_start(alert_writer, "alerts", trigger), _start(trend_writer, "trends", trigger)]
+    """Alerts to messages and points, trends to points: two queries per sensor.
+
+    Each sensor has watermarks, state and checkpoints of its own, so a topic that lags, or a device whose
+    clock runs ahead, holds up or cuts off no other sensor. ``readings`` is one stream of
+    all sensors, or a stream per sensor name.
+    """
+    started = []
+    for sensor in sensors:
+        own = readings[sensor.name] if isinstance(readings, dict) else readings
+        alert_rows, trend_rows = windows.alert_pipeline(own, (sensor,))
+        outputs = [sinks.point_batches(point_path, f"alerts_{sensor.name}")]
+        if message_options is not None:
+            outputs.insert(0, sinks.message_batches(message_fmt, _own_folder(message_options, sensor)))
+        if show:
+            outputs.append(sinks.show_batches())
+        trends = [sinks.point_batches(point_path, f"trends_{sensor.name}")]
+        for kind, rows, targets in (("alerts", alert_rows, outputs), ("trends", trend_rows, trends)):
+            writer = rows.writeStream.foreachBatch(sinks.fan_out(*targets)).outputMode("append")
+            writer = writer.option("checkpointLocation", f"{checkpoint}/{kind}_{sensor.name}")
+            started.append(_start(writer, f"{kind}_{sensor.name}", trigger))
+    return started
+
+
+def _own_folder(options: dict[str, str], sensor: Sensor) -> dict[str, str]:
+    """Messages into files go to a folder per sensor: two jobs cannot commit to one folder at a time."""
+    return options | {"path": f"{options['path']}/sensor={sensor.name}"} if "path" in options else options
+
+
+def reject_log(messages: DataFrame, path: str, checkpoint: str, prefix: str = settings.TOPIC_PREFIX, trigger: dict | None = None) -> StreamingQuery:
+    """Messages of the sensor topics that give no reading, with their raw text and reason."""
+    rejected = parse.unread(messages, routing.sensor_of_topic(F.col("topic"), prefix), keep=("topic",))
+    return _start(sinks.reject_table(rejected, path, checkpoint), "rejects", trigger)
 
 
 def reading_points(
@@ -87,7 +108,7 @@ def device_bridge(
     def route(batch: DataFrame, batch_id: int) -> None:
         taken, letters = bridge.split_routes(batch, prefix)
         message_writer(taken, batch_id)
-        letters.write.mode("overwrite").parquet(f"{letter_path}/batch={batch_id}")
+        letters.write.mode("overwrite").option(*STATIC).parquet(f"{letter_path}/batch={batch_id}")
 
     writer = events.writeStream.foreachBatch(sinks.fan_out(route)).option("checkpointLocation", checkpoint)
     return _start(writer, "device_bridge", trigger)
@@ -105,11 +126,12 @@ def alert_engine(
 
     def outbox(batch: DataFrame, batch_id: int) -> None:
         if notify:
-            ops.outbox(batch, enabled=True).write.mode("overwrite").parquet(f"{outbox_path}/batch={batch_id}")
+            ops.outbox(batch, enabled=True).write.mode("overwrite").option(*STATIC).parquet(f"{outbox_path}/batch={batch_id}")
+
+    def arrived(batch: DataFrame, batch_id: int) -> None:
+        arrival = F.lit(sinks.fixed_arrival(batch.sparkSession, point_path, batch_id)).cast("timestamp")
+        sinks.write_batch(points.arrival_points(batch, arrival), point_path, "arrivals", batch_id)
 
-    arrived = sinks.point_batches(
-        point_path, "arrivals", lambda batch: points.arrival_points(batch, F.current_timestamp())
-    )
     writer = (
         ops.serving(records)
         .writeStream.foreachBatch(sinks.fan_out(arrived, outbox))

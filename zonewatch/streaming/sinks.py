@@ -1,19 +1,21 @@
 """Streaming sinks. Writes run in the executors; nothing is collected.
 
-``foreachBatch`` sinks put each micro-batch into a folder of its own and replace that
-folder as a whole, so a repeated batch after a failure leaves one copy.
+``foreachBatch`` sinks replace what the same micro-batch wrote before, so a repeated batch after a
+failure leaves one copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from zonewatch.operators import alerts as ops
 from zonewatch.operators import points
+from zonewatch.sources import tables
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -40,19 +42,53 @@ def console(rows: DataFrame, checkpoint: str | None = None) -> DataStreamWriter:
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).outputMode("append")
 
 
-ROWS_PER_FILE = 1_000_000
-
-
 def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
-    """Replace the folder of one micro-batch of one query; an empty batch writes nothing.
+    """Replace one micro-batch's rows of one query in a point table laid out by day.
 
-    A micro-batch has a partition per state store and often few rows, so partitions are merged,
-    without a shuffle, down to one per ``ROWS_PER_FILE`` rows.
+    The day comes first, so a panel over recent points lists the folders of its days only; query and
+    batch follow, so a repeated batch replaces its own rows and no others. A day's rows are
+    dealt by a shuffle to as many tasks as the session has shuffle partitions, without a count.
     """
-    count = rows.count()
-    if count:
-        dated = rows.withColumn("date", F.to_date("time")).coalesce(-(-count // ROWS_PER_FILE))
-        dated.write.mode("overwrite").partitionBy("date").parquet(f"{path}/query={query}/batch={batch_id}")
+    dated = rows.withColumns({"date": F.to_date("time"), "query": F.lit(query), "batch": F.lit(batch_id)})
+    (
+        dated.repartition("date", "zone")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "query", "batch")
+        .parquet(path)
+    )
+
+
+def fixed_arrival(spark: SparkSession, path: str, batch_id: int) -> datetime:
+    """The arrival time of a micro-batch. It is noted before the batch is written, so that a repeated
+    batch has the same times, and with them the same days."""
+    note = f"{path}/_arrivals/batch={batch_id}"
+    known = tables.table_or_none(spark, note, "arrival timestamp")
+    if known is None:
+        spark.range(1).select(F.current_timestamp().alias("arrival")).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(note)
+        known = tables.table_or_none(spark, note, "arrival timestamp")
+    return known.first()[0]
+
+
+def compact_points(spark: SparkSession, path: str, compacted: str, before: date) -> None:
+    """Copy the days before ``before`` from a point table of micro-batches into one without them: a few
+    files a day instead of a folder per batch. Days are replaced as a whole, so a repeat changes nothing."""
+    old = spark.read.parquet(path).filter(F.col("date") < F.lit(before)).drop("batch")
+    (
+        old.hint("rebalance", F.col("date"))
+        .sortWithinPartitions("date", "time")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(compacted)
+    )
+
+
+def all_points(spark: SparkSession, path: str, compacted: str, before: date) -> DataFrame:
+    """A compacted table and the newer days of its source, as one."""
+    newer = spark.read.parquet(path).filter(F.col("date") >= F.lit(before)).drop("batch")
+    older = spark.read.parquet(compacted).filter(F.col("date") < F.lit(before))
+    return older.unionByName(newer)
 
 
 def point_batches(path: str, query: str, to_points=points.alert_points) -> BatchSink:
@@ -87,6 +123,17 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
     return sink
 
 
+def reject_table(rejected: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Messages that gave no reading, with their raw text, by reason."""
+    return (
+        rejected.writeStream.format("parquet")
+        .partitionBy("reject_reason")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+
+
 def raw_landing(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Messages (``value``, ``sensor``) to the raw zone as JSON lines, a folder per sensor."""
     return (
