@@ -24,12 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.llm import arrays
+from zonewatch.llm.shared import written
 
 ORDER = 4
 SAMPLE = 1500
 CONTEXTS = 16_384
 CELLS = 1 << 24
 UNKNOWN = "und"
+#: Languages up to this number are broadcast with their sizes.
+LANGS = 100_000
 
 
 class Model:
@@ -108,7 +111,9 @@ def _has_letter(column: pa.Array) -> np.ndarray:
 def sample(docs: DataFrame, doc_id: str, lang: str, per_lang: int) -> DataFrame:
     """About ``per_lang`` rows of each language: a row stays if the hash of its id is under its language's
     share. No language's rows are gathered in one task."""
-    sizes = docs.groupBy(lang).agg(F.count("*").alias("rows_of_lang"))
+    sizes = written(docs.groupBy(lang).agg(F.count("*").alias("rows_of_lang")), "langs")
+    if sizes.count() <= LANGS:  # languages are few; should they not be, the texts are shuffled
+        sizes = F.broadcast(sizes)
     share = F.lit(float(per_lang)) / F.col("rows_of_lang")
     drawn = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 30)) / float(1 << 30)
     return docs.join(sizes, lang).where(drawn < share).drop("rows_of_lang")
