@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at once, unless one row alone has more.
 BLOCK_BYTES = 4 << 20
+#: Bytes whose words are hashed at once.
+HASHED_BYTES = 1 << 19
 
 #: Odd multipliers of the two rolling hashes (bytes into words, words into windows).
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -49,7 +51,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.size:
-            self.size = max(n, 2 * self.size, 1 << 16)
+            self.size = max(n + n // 8, 1 << 16)  # both arrays stay with the worker: no doubling
             self.up, self.down = (_powers(b, self.size) for b in (self.base, pow(self.base, -1, 1 << 64)))
         return self.up[:n], self.down[:n]
 
@@ -106,7 +108,14 @@ class Words:
         self.data = data
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.start, bounds)
-        self.hash = range_hashes(prefix_sums(data, BYTE_BASE), self.start, self.end, BYTE_BASE)
+        self.hash = np.empty(len(self.start), np.uint64)
+        # some rows at a time: their sums stay in the cache
+        row = 0
+        while row < len(bounds) - 1:
+            to = max(row + 1, int(np.searchsorted(bounds, bounds[row] + HASHED_BYTES, side="right")) - 1)
+            a, b, base = self.bounds[row], self.bounds[to], bounds[row]
+            self.hash[a:b] = range_hashes(prefix_sums(data[base : bounds[to]], BYTE_BASE), self.start[a:b] - base, self.end[a:b] - base, BYTE_BASE)
+            row = to
 
     def __len__(self) -> int:
         return len(self.start)

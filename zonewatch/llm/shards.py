@@ -132,5 +132,5 @@ def store(parts: DataFrame, merge, kinds: tuple[str, ...], n: int, extra: str =
 
     schema = "bucket int, path string, n long" + "".join(f", {x} double" for x in names)
     made = parts.groupBy("bucket").applyInArrow(run, schema).toArrow()
-    files = {b: (p, n) for b, p, n in zip(*(made[c].to_pylist() for c in ("bucket", "path", "n")), strict=True)}
-    return Shards(n, kinds, files), made
+    rows = zip(*(made[c].to_pylist() for c in ("bucket", "path", "n")), strict=True)
+    return Shards(n, kinds, {b: (path, size) for b, path, size in rows if size}), made
