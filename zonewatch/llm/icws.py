@@ -11,10 +11,11 @@ passages. df is counted over all documents, exactly up to collisions of 48-bit h
 2. One pass draws ``BANDS * ROWS`` samples per text (a shingle and its quantised weight; two texts draw
    the same with the probability of their weighted Jaccard similarity) and a hash of the word sequence.
    Texts with the same words are one class at once, whatever their number; only one goes on.
-3. Texts that agree in a band are candidates. No bucket is expanded into pairs: in each round a bucket's
-   members are compared with one of them, links are verified on the texts and contracted, and
-   the next round takes another one. What is then still apart in a bucket is compared in tiles, between
-   different components only, so no link is lost to a cap.
+3. Texts that agree in a band are candidates. No bucket is expanded into rows of pairs: in each round a
+   bucket's members are compared with one of them, links are verified on the texts and contracted, and
+   the next round takes another one. Of buckets that are still apart, the members meet in pairs of tiles of
+   ``TILE``, where every candidate pair of different components is verified by matrix products and
+   a spanning forest of the links comes out. So no link is lost to a cap, and n copies cost n rows a tile.
 4. A candidate is first held against all samples (fewer than ``AGREE`` common ones: dropped, at a similarity
    of 0.8 one in some thousands) and then verified by the weighted Jaccard similarity of the two texts.
 
@@ -34,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewatch.llm import arrays, shards
-from zonewatch.llm.shared import components, some_of, written
+from zonewatch.llm.shared import components, forest, some_of, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, AGREE = 10, 3, 16
-ROUNDS, TILE = 4, 1024
+ROUNDS, TILE = 2, 512
+#: Features of a slice of the matrix products.
+FEATURES = 2048
 #: Bytes of text whose shingles a task counts before it sends them on.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 FLOOR = 0.75
 
 
@@ -227,27 +230,76 @@ def agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def tiled(members: DataFrame, sigs: DataFrame, least: int, tile: int) -> DataFrame:
-    """Pairs of one bucket (bucket, node, comp) in different components that share ``least`` samples."""
+def similarities(texts: arrays.Texts, weights: Weights, size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarities of the rows ``left`` with the rows ``right``.
+
+    A shingle that occurs n times is n features of its idf, so what two texts share is an inner product: all pairs
+    come from matrix products, a slice of the features at a time. Features of one text alone count in its total only."""
+    row, keys, n, _ = shingles(texts, size)
+    idf = weights.idf(keys)
+    total = np.bincount(row, weights=n * idf, minlength=len(texts))
+    level = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    feature = arrays.mixed(np.repeat(keys, n) + level.astype(np.uint64))
+    row, idf = np.repeat(row, n), np.repeat(idf, n)
+    _, column, count = np.unique(feature, return_inverse=True, return_counts=True)
+    many = np.flatnonzero(count[column] > 1)
+    number = np.cumsum(count > 1) - 1
+    row, idf, column = row[many], idf[many], number[column[many]]
+    order = np.argsort(column, kind="stable")
+    row, idf, column = row[order], idf[order], column[order]
+    common = np.zeros((len(left), len(right)))
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, FEATURES):
+        s, e = np.searchsorted(column, [at, at + FEATURES])
+        x = np.zeros((len(texts), FEATURES))
+        x[row[s:e], column[s:e] - at] = np.sqrt(idf[s:e])
+        common += x[left] @ x[right].T
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.nan_to_num(common / (total[left][:, None] + total[right][None, :] - common))
+
+
+def candidates(sig: np.ndarray, left: np.ndarray, right: np.ndarray, band: int, rows: int, least: int) -> np.ndarray:
+    """Which pairs share ``least`` samples and meet in no band before ``band``, where they are looked at."""
+    common = np.zeros((len(left), len(right)), np.int16)
+    before = np.zeros(common.shape, bool)
+    for b in range(sig.shape[1] // rows):
+        whole = np.ones(common.shape, bool)
+        for k in range(b * rows, (b + 1) * rows):
+            same = sig[left, k][:, None] == sig[right, k][None, :]
+            common += same
+            whole &= same
+        if b < band:
+            before |= whole
+    return (common >= least) & ~before
+
+
+def tiled_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, weights: Broadcast, size: int, threshold: float, rows: int, least: int, tile: int) -> DataFrame:
+    """Links (a, b) between different components of a bucket (bucket, band, node, comp): every candidate pair is
+    verified where its tiles meet, and a tile returns a spanning forest of its links."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).selectExpr("bucket", f"cast(ceil(n / {tile}) AS int) AS tiles")
-    dealt = members.join(sizes, "bucket").join(sigs.withColumnRenamed("doc_id", "node"), "node")
+    data = sigs.withColumnRenamed("doc_id", "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+    dealt = members.join(sizes, "bucket").join(data, "node")
     dealt = dealt.withColumn("own", F.expr("pmod(xxhash64(node), tiles)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    dealt = dealt.selectExpr("bucket", "least(own, other) AS i", "greatest(own, other) AS j", "own", "node", "comp", "sig")
+    dealt = dealt.selectExpr("bucket", "band", "least(own, other) AS i", "greatest(own, other) AS j", "own", "node", "comp", "sig", "text")
 
     def run(table):
         own, node, comp = (table[c].to_numpy() for c in ("own", "node", "comp"))
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(len(node), -1)
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        left, right = (np.flatnonzero(own == i), np.flatnonzero(own == j))
-        found = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) | (i != j))]
-            y = y[(sig[y] == sig[x]).sum(axis=1) >= least]
-            found.append((np.full(len(y), node[x]), node[y]))
-        a, b = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
-        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        i, j, band = (table[c][0].as_py() for c in ("i", "j", "band"))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        pairs = candidates(sig, left, right, band, rows, least) & (comp[left][:, None] != comp[right][None, :])
+        if i == j:
+            pairs = np.triu(pairs, 1)
+        edges = []
+        if pairs.any():
+            left, right, pairs = left[pairs.any(axis=1)], right[pairs.any(axis=0)], pairs[pairs.any(axis=1)][:, pairs.any(axis=0)]
+            used, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+            block = arrays.as_texts(table["text"].combine_chunks().take(pa.array(used)))
+            x, y = place[: len(left)], place[len(left) :]
+            a, b = np.nonzero(pairs & (similarities(block, weights.value, size, x, y) >= threshold))
+            edges = [(int(node[used[u]]), int(node[used[v]])) for u, v in forest(x[a], y[b], len(used))]
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return written(dealt.groupBy("bucket", "band", "i", "j").applyInArrow(run, "a long, b long"), "tile-links")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, agree: int = AGREE, rounds: int = ROUNDS, tile: int = TILE) -> DataFrame:
@@ -261,10 +313,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     same = written(grouped, "same-words")
     reps = same.where("rep IS NOT NULL")
     sigs = reps.selectExpr("rep AS doc_id", "sig").dropDuplicates(["doc_id"])
-    banded = reps.selectExpr("rep AS node", "posexplode(bands) AS (band, key)").selectExpr("xxhash64(band, key) AS bucket", "node")
+    banded = reps.selectExpr("rep AS node", "posexplode(bands) AS (band, key)").selectExpr("xxhash64(band, key) AS bucket", "band", "node")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     members = written(banded.join(shared, "bucket"), "bucket-members")
-    found = None
     nodes = members.selectExpr("node AS doc_id").distinct()
     texts = some_of(rows_in.where("doc_id IS NOT NULL"), nodes, "doc_id")
     if not signed.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
@@ -273,22 +324,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     label = nodes.selectExpr("doc_id AS node", "doc_id AS comp")
     done = spark.createDataFrame([], "a long, b long")
     for turn in range(rounds + 1):
-        placed = members.join(label, "node") if turn else members.withColumn("comp", F.col("node"))
+        placed = members.join(label, "node")
         apart = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.expr(f"min_by(node, xxhash64(node, {turn}))").alias("lead"), F.expr(f"min_by(comp, xxhash64(node, {turn}))").alias("lead_comp")).where("low < high")
         if turn < rounds:
             pairs = placed.join(apart, "bucket").where("comp <> lead_comp").selectExpr("least(node, lead) AS a", "greatest(node, lead) AS b").distinct()
-            pairs = agreeing(pairs, sigs, agree)
+            pairs = written(agreeing(pairs.join(done, ["a", "b"], "left_anti"), sigs, agree), "candidates")
+            links = verified(pairs, texts, weights, size, threshold)
+            done = done.union(pairs)
         else:
-            pairs = tiled(placed.join(apart.select("bucket"), "bucket", "left_semi"), sigs, agree, tile)
-        pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "candidates")
-        if pairs.isEmpty():
-            if turn < rounds:
-                continue
-            break
-        links = verified(pairs, texts, weights, size, threshold)
-        found = links if found is None else found.union(links)
-        done = done.union(pairs)
-        label = label.select("node").join(components(found).toDF("node", "component"), "node", "left").selectExpr("node", "coalesce(component, node) AS comp")
+            links = tiled_links(placed.join(apart.select("bucket"), "bucket", "left_semi"), sigs, texts, weights, size, threshold, rows, agree, tile)
+        # only components that a new link touches can change
+        between = links.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").selectExpr("ca AS a", "cb AS b").where("a <> b")
+        label = label.join(components(between).toDF("comp", "component"), "comp", "left").selectExpr("node", "coalesce(component, comp) AS comp")
         label = written(label, "classes")
     named = same.join(label.toDF("rep", "comp"), "rep", "left").selectExpr("h1", "h2", "n_copies", "coalesce(comp, rep) AS class_id")
     several = named.where("n_copies > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewatch.llm.shared import components, written
+from zonewatch.llm.shared import components, forest, written
 
 THRESHOLD = 0.93
 TILE_ROWS = 1024
@@ -160,21 +160,6 @@ def compared(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float, s
     return i[keep], j[keep]
 
 
-def forest(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Edges that join the same nodes as all the links i-j do: each node with the least of its component."""
-    least = np.arange(n)
-    while True:
-        low = np.minimum(least[i], least[j])
-        then = least.copy()
-        np.minimum.at(then, i, low)
-        np.minimum.at(then, j, low)
-        then = then[then]
-        if (then == least).all():
-            break
-        least = then
-    return [(k, int(m)) for k, m in enumerate(least) if k != m]
-
-
 def links(tiled: DataFrame, axes: Broadcast, threshold: float) -> DataFrame:
     """(a, b, n): with b null, a's links by weight; else an edge of a spanning forest."""
     boxes = tiled.select("label", "d", "tile", "low", "high")
