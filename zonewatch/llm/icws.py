@@ -341,10 +341,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     several = named.where("n_copies > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
     ids = signed.select("doc_id", "h1", "h2").withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(16)))
     # a class of copies may hold a third of all rows: dealt over the salts; all others have one row here
+    # texts without words would meet in one task of a join
+    bare, ids = ids.where("h1 IS NULL").selectExpr("doc_id", "doc_id AS class_id", "1L AS n_copies"), ids.where("h1 IS NOT NULL")
     copies = ids.join(several, ["h1", "h2", "salt"]).select("doc_id", "class_id", "n_copies")
     single = ids.join(several, ["h1", "h2", "salt"], "left_anti").join(named.where("n_copies = 1"), ["h1", "h2"], "left")
-    single = single.selectExpr("doc_id", "coalesce(class_id, doc_id) AS class_id", "coalesce(n_copies, 1L) AS n_copies")
-    return copies.unionByName(single).withColumn("kept", F.expr("coalesce(doc_id = class_id, false)"))
+    single = single.select("doc_id", "class_id", "n_copies")
+    return bare.unionByName(copies).unionByName(single).withColumn("kept", F.expr("coalesce(doc_id = class_id, false)"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
