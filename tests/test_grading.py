@@ -122,11 +122,6 @@ def test_bands(spark):
     assert found == ["low", "medium", "medium", "high", "high", "critical"]
     df = spark.createDataFrame([(99.9,), (100.0,), (300.0,), (None,)], "v double")
     assert [r[0] for r in df.select(bands.colour("aqi", F.col("v"))).collect()] == ["green", "yellow", "red", None]
-    hours = spark.range(24).select(F.col("id").cast("int").alias("h"))
-    night = [r[0] for r in hours.filter(bands.is_night(F.col("h"))).collect()]
-    assert night == [0, 1, 2, 3, 4, 5, 21, 22, 23]
-    factors = dict(hours.select("h", bands.traffic_factor(F.col("h"))).collect())
-    assert (factors[8], factors[16], factors[12]) == (3.0, 2.0, 0.8)
 
 
 def test_device_routing(spark):
