@@ -66,6 +66,8 @@ class Pieces:
         rank[order] = np.arange(len(order))
         self.weight = -alpha * np.log1p(rank.astype(np.float64))
         self.byte_id = np.array([byte_ids[b] for b in range(256)])
+        #: Weights with a factor per byte that keeps the sums of a unit near 1.
+        self.gain = np.exp(self.weight + PER_BYTE * np.array([len(t) for t in self.texts]))
         # a trie: the node after another node and a byte (0: none; the root is node 1), and the piece of a node
         nodes, steps, piece = {b"": 1}, [], {}
         for i in usable:
@@ -88,22 +90,18 @@ class Pieces:
 def marked(texts: arrays.Texts) -> tuple[np.ndarray, np.ndarray]:
     """The texts as the model reads them: a mark for each blank and one before each text that is not empty."""
     data, bounds = texts.data, texts.bounds
-    blank = data == BLANK
-    starts = bounds[:-1][np.diff(bounds) > 0]
-    grown = np.where(blank, 3, 1)
-    at = np.cumsum(grown) - grown
-    lead = np.zeros(len(data) + 1, np.int64)
-    lead[starts] = 3
-    shift = np.cumsum(lead)
-    at = at + shift[:-1]
-    out = np.empty((int(at[-1] + grown[-1]) if len(data) else 0), np.uint8)
-    out[at] = data
-    for k in range(3):
-        out[at[blank] + k] = MARK[k]
-        out[at[starts] - 3 + k] = MARK[k]
-    sizes = np.concatenate([[0], np.cumsum(grown)])
-    new = sizes[bounds] + 3 * np.concatenate([[0], np.cumsum(np.diff(bounds) > 0)])
-    return out, new
+    blank = np.flatnonzero(data == BLANK)
+    some = np.diff(bounds) > 0
+    starts = bounds[:-1][some]
+    grown = np.ones(len(data), np.int64)
+    grown[blank] = 3
+    grown[starts] += 3
+    ends = np.cumsum(grown)
+    out = np.repeat(data, grown)
+    for at in (ends[blank] - 3, ends[starts] - grown[starts]):
+        for k in range(3):
+            out[at + k] = MARK[k]
+    return out, np.concatenate([[0], ends])[bounds]
 
 
 def units(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -117,77 +115,111 @@ def units(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+#: Bytes of the character that a byte begins, 0 if it begins none.
+WIDTH = np.repeat(np.array([1, 0, 2, 3, 4], np.int8), [0x80, 0x40, 0x20, 0x10, 0x10])
+#: Units up to this many bytes are summed without logarithms: at ``PER_BYTE`` a byte no sum leaves a double's range.
+SHORT, PER_BYTE = 150, 2.0
+
+
 class Lattice:
-    """The lattices of distinct units one after another. Node ``first[u] + p`` is position p of unit u; the edges
-    that end in a node are ``ptr[node]:ptr[node + 1]``."""
+    """The lattices of distinct units, laid out by position: all units' nodes at position 0, then all at position 1,
+    and so on, the longest unit first, so that position p of the unit in place u is node ``base[p] + u``. The edges
+    that end in a node are ``ptr[node]:ptr[node + 1]``, longer pieces first, as those are mostly the likely
+    ones. ``first`` and ``last`` are a unit's end nodes, by the order in which the units were given."""
 
     def __init__(self, pieces: Pieces, data: np.ndarray, start: np.ndarray, end: np.ndarray):
-        size = end - start
-        self.first = np.cumsum(size + 1) - (size + 1)
-        self.last = self.first + size
-        total = int((size + 1).sum())
-        # the distinct units' bytes, with a byte of room after each
-        node_unit = np.repeat(np.arange(len(size)), size + 1)
-        rel = np.arange(total) - self.first[node_unit]
-        inside = rel < size[node_unit]
-        text = np.zeros(total, np.uint8)
-        text[inside] = data[(start[node_unit] + rel)[inside]]
-        limit = self.last[node_unit].astype(np.int32)
-        alive = np.flatnonzero(inside & ((text & 0xC0) != 0x80)).astype(np.int32)  # pieces begin at characters
-        lone = np.zeros(total, bool)
-        lone[alive] = True
-        width = np.where(text < 0x80, 1, np.where(text < 0xE0, 2, np.where(text < 0xF0, 3, 4))).astype(np.int32)
-        froms, tos, ids = [], [], []
-        state, n = np.ones(len(alive), np.int32), 0
+        order = np.argsort(start - end, kind="stable")
+        start, size = start[order].astype(np.int32), (end - start)[order].astype(np.int32)
+        self.longest = int(size[0]) if len(size) else 0
+        # how many units reach each position; the end of a unit is a position of its own
+        self.reach = np.searchsorted(-size, -np.arange(self.longest + 1), side="right")
+        self.base = np.concatenate([[0], np.cumsum(self.reach)]).astype(np.int32)
+        self.total = int(self.base[-1])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.first = place.astype(np.int32)
+        position = np.repeat(np.arange(self.longest + 1, dtype=np.int32), self.reach)
+        unit = np.arange(self.total, dtype=np.int32) - self.base[position]
+        inside = position < size[unit]
+        text = np.full(self.total, 0x80, np.uint8)  # the end of a unit begins no character
+        text[inside] = data[(start[unit] + position)[inside]]
+        self.last = np.empty(len(order), np.int32)
+        self.last[order] = self.base[size] + np.arange(len(order), dtype=np.int32)
+        self._edges(pieces, text, position, unit, size)
+        self._probabilities(pieces, size)
+
+    def _edges(self, pieces: Pieces, text: np.ndarray, position: np.ndarray, unit: np.ndarray, size: np.ndarray) -> None:
+        width = WIDTH[text]
+        lone = width > 0  # pieces begin at characters
+        alive = np.flatnonzero(lone).astype(np.int32)
+        at, row = position[alive], unit[alive]
+        room, now, state, n, parts = size[row], alive, np.ones(len(alive), np.int32), 0, []
         while len(alive):
-            state = pieces.next[state * 256 + text[alive + n]]
+            state = pieces.next[state * 256 + text[now]]
             n += 1
             hit = np.flatnonzero(state)
-            alive, state = alive[hit], state[hit]
+            alive, state, at, row, room = alive[hit], state[hit], at[hit] + np.int32(1), row[hit], room[hit]
+            now = self.base[at] + row
             found = pieces.piece[state]
             full = np.flatnonzero(found >= 0)
-            froms.append(alive[full])
-            tos.append(alive[full] + np.int32(n))
-            ids.append(found[full])
-            lone[alive[full[width[alive[full]] == n]]] = False
-            more = np.flatnonzero(alive + n < limit[alive])
-            alive, state = alive[more], state[more]
+            parts.append((alive[full], now[full], found[full]))
+            if n <= 4:
+                whole = alive[full]
+                lone[whole[width[whole] == n]] = False
+            more = np.flatnonzero(at < room)
+            alive, state, at, row, room, now = alive[more], state[more], at[more], row[more], room[more], now[more]
         # characters that are no piece: a path of byte pieces
         spelt = np.flatnonzero(lone).astype(np.int32)
         for k in range(4):
-            at = spelt[width[spelt] > k] + np.int32(k)
-            froms.append(at)
-            tos.append(at + np.int32(1))
-            ids.append(pieces.byte_id[text[at]].astype(np.int32))
-        # longer pieces first: they are mostly the likely ones
-        to = np.concatenate(tos[::-1])
-        order = np.argsort(to, kind="stable")
-        self.source, self.to, self.id = np.concatenate(froms[::-1])[order], to[order], np.concatenate(ids[::-1])[order]
-        to = self.to
-        self.ptr = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=total))]).astype(np.int32)
-        # forward sums, a distance from the unit's start at a time
-        weight = pieces.weight[self.id]
-        alpha = np.full(total, -np.inf)
-        alpha[self.first] = 0.0
-        far = rel[to].astype(np.int32)
-        by = np.argsort(far, kind="stable")
-        cuts = np.searchsorted(far[by], np.arange(1, int(rel.max(initial=0)) + 2))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            e = by[a:b]
-            value, node = alpha[self.source[e]] + weight[e], to[e]
-            head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-            top = np.maximum.reduceat(value, head)
-            safe = np.where(np.isfinite(top), top, 0.0)
-            with np.errstate(divide="ignore"):
-                alpha[node[head]] = safe + np.log(np.add.reduceat(np.exp(value - np.repeat(safe, np.diff(np.append(head, len(e))))), head))
-        #: Log-probability of an edge, given the node where it ends; sums of these probabilities in a node.
-        with np.errstate(invalid="ignore"):
-            self.logp = np.nan_to_num(alpha[self.source] + weight - alpha[to], nan=-np.inf)
-        sums = np.concatenate([[0.0], np.cumsum(np.exp(self.logp))])
-        self.upto = sums[1:] - sums[self.ptr[to]]
-        self.upto[self.ptr[1:][self.ptr[1:] > self.ptr[:-1]] - 1] = 2.0  # a node's last edge takes what is left
+            some = spelt[width[spelt] > k]
+            one, to = (self.base[position[some] + j] + unit[some] for j in (k, k + 1))
+            parts.append((one, to, pieces.byte_id[text[one]].astype(np.int32)))
+        count = np.zeros(self.total + 1, np.int32)
+        for _, to, _ in parts:  # within one part every end is there once
+            count[to + 1] += 1
+        self.ptr = np.cumsum(count, dtype=np.int32)
+        self.source, self.to, self.id = (np.empty(int(self.ptr[-1]), np.int32) for _ in range(3))
+        slot = self.ptr[:-1].copy()
+        for one, to, ids in reversed(parts):
+            spot = slot[to]
+            self.source[spot], self.to[spot], self.id[spot] = one, to, ids
+            slot[to] += 1
+
+    def _probabilities(self, pieces: Pieces, size: np.ndarray) -> None:
+        """Forward sums, a position at a time, and each edge's share of its node's sum."""
+        logs = self.longest > SHORT  # then all of this block's sums are kept as logarithms
+        gain = pieces.weight[self.id] if logs else pieces.gain[self.id]
+        total = np.full(self.total, -np.inf if logs else 0.0)
+        total[: self.reach[0] if len(size) else 0] = 0.0 if logs else 1.0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for d in range(1, self.longest + 1):
+                nodes = slice(int(self.base[d]), int(self.base[d + 1]))
+                edges = slice(int(self.ptr[nodes.start]), int(self.ptr[nodes.stop]))
+                head = self.ptr[nodes] - np.int32(edges.start)
+                n = np.diff(np.append(head, np.int32(edges.stop - edges.start)))
+                some = np.flatnonzero(n)
+                if not len(some):
+                    continue
+                head = head[some]
+                value = total[self.source[edges]]
+                if logs:
+                    value += gain[edges]
+                    top = np.maximum.reduceat(value, head)
+                    safe = np.where(np.isfinite(top), top, 0.0)
+                    total[nodes.start + some] = safe + np.log(np.add.reduceat(np.exp(value - np.repeat(safe, n[some])), head))
+                else:
+                    value *= gain[edges]
+                    total[nodes.start + some] = np.add.reduceat(value, head)
+            #: Probability of an edge, given the node where it ends; sums of these in a node.
+            self.share = np.nan_to_num(np.exp(total[self.source] + gain - total[self.to]) if logs else total[self.source] * gain / total[self.to])
+        sums = np.cumsum(self.share)
+        # as integers, to be compared with 63 random bits
+        self.upto = np.minimum((sums - (sums - self.share)[self.ptr[self.to]]) * 2.0**63, 2.0**63 - 1024).astype(np.int64)
+        self.upto[self.ptr[1:][np.diff(self.ptr) > 0] - 1] = np.iinfo(np.int64).max  # a node's last edge takes what is left
+
+    def logp(self, edges: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            return np.log(self.share[edges])
 
 
 def uniform(bits: np.ndarray) -> np.ndarray:
@@ -198,30 +230,33 @@ def gumbel(bits: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(uniform(arrays.mixed(bits))))
 
 
+#: Bytes of text whose units share a lattice: few enough for its arrays to stay in the cache.
+BLOCK_BYTES = 1 << 19
 #: Walks that go down together: their arrays stay in the cache.
 TOGETHER = 1 << 15
 
 
-def descend(lattice: Lattice, start: np.ndarray, goal: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """From each walk's ``start`` to its ``goal``, an edge at a time by probability, many walks at once: the
-    edges in text order, and each walk's first place among them."""
+def descend(lattice: Lattice, start: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From each walk's ``start`` to its unit's first node, an edge at a time by probability, many walks at once:
+    the edges in text order, and each walk's first place among them."""
+    goal = lattice.reach[0] if lattice.total else 0
     chosen, count = [], np.zeros(len(start), np.int64)
     for begin in range(0, len(start), TOGETHER):
         part = slice(begin, begin + TOGETHER)
-        walk = begin + np.flatnonzero(start[part] > goal[part])
-        at, end, bits, step = start[walk], goal[walk], seed[walk], 0
+        walk = begin + np.flatnonzero(start[part] >= goal)
+        at, bits, step = start[walk], seed[walk], 0
         while len(walk):
-            u = uniform(arrays.mixed(bits + np.uint64(step * arrays.BYTE_BASE % 2**64)))
+            u = (arrays.mixed(bits + np.uint64(step * arrays.BYTE_BASE % 2**64)) >> np.uint64(1)).view(np.int64)
             edge = lattice.ptr[at]
-            later = np.flatnonzero(lattice.upto[edge] <= u)
+            later = np.flatnonzero(lattice.upto[edge] < u)
             while len(later):
                 edge[later] += 1
-                later = later[lattice.upto[edge[later]] <= u[later]]
+                later = later[lattice.upto[edge[later]] < u[later]]
             chosen.append((walk, edge, step))
             count[walk] += 1
             at, step = lattice.source[edge], step + 1
-            go = np.flatnonzero(at > end)
-            walk, at, end, bits = walk[go], at[go], end[go], bits[go]
+            go = np.flatnonzero(at >= goal)
+            walk, at, bits = walk[go], at[go], bits[go]
     first = np.concatenate([[0], np.cumsum(count)])
     path = np.empty(first[-1], np.int64)
     for walk, edge, step in chosen:
@@ -254,29 +289,34 @@ class Draws:
         active = np.arange(rows)
         for draw in range(k):
             walk_seed = arrays.mixed(row_seed[row[walks]] + number[walks] * np.uint64(arrays.WORD_BASE) + np.uint64((draw + 1) * arrays.BYTE_BASE % 2**64))
-            path, first = descend(lat, nodes, lat.first[unit[walks]], walk_seed)
-            logp = lat.logp[path]
+            path, first = descend(lat, nodes, walk_seed)
+            logp = lat.logp(path)
             cuts = first[np.searchsorted(walks, ub)]  # each row's places
             sums = np.concatenate([[0.0], np.cumsum(logp)])
             tail_logp = np.zeros(rows)
             tail_logp[active] = [tails[r][1] for r in active]
-            # log-probability of the suffix behind each place; the children there that were not chosen
-            owner = np.repeat(np.arange(rows), np.diff(cuts))
-            behind = (sums[cuts[1:]] + tail_logp)[owner] - sums[1:]
-            near = np.flatnonzero(behind > FAR)
+            # log-probability of the suffix behind each place: sums only fall, so a row's places above FAR are its last
+            whole = sums[cuts[1:]] + tail_logp
+            low = np.maximum(cuts[:-1], np.searchsorted(-sums[1:], FAR - whole, side="right"))
+            n = np.maximum(cuts[1:] - low, 0)
+            owner = np.repeat(np.arange(rows), n)
+            near = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            behind = whole[owner] - sums[near + 1]
+            # the children there that were not chosen
             node = lat.to[path[near]]
             size = lat.ptr[node + 1] - lat.ptr[node]
-            place = np.repeat(near, size)
-            edge = np.arange(len(place)) + np.repeat(lat.ptr[node] - (np.cumsum(size) - size), size)
-            rest = np.flatnonzero((edge != path[place]) & np.isfinite(lat.logp[edge]))
-            place, edge = place[rest], edge[rest]
+            place, edge = np.repeat(near, size), np.arange(int(size.sum())) + np.repeat(lat.ptr[node] - (np.cumsum(size) - size), size)
+            owner, behind = np.repeat(owner, size), np.repeat(behind, size)
+            rest = np.flatnonzero((edge != path[place]) & (lat.share[edge] > 0))
+            place, edge, owner, behind = place[rest], edge[rest], owner[rest], behind[rest]
             walk = np.searchsorted(first, place, side="right") - 1
-            which = (edge - lat.ptr[lat.first[unit[walks[walk]]]]).astype(np.uint64)  # among all edges of the unit
-            bits = walk_seed[walk] ^ (which * np.uint64(arrays.WORD_BASE) + np.uint64(arrays.WORD_BASE))
-            phi = behind[place] + lat.logp[edge]
-            given = -np.logaddexp(-tops[owner[place]], np.log(-np.log(uniform(arrays.mixed(bits)))) - phi)
-            for i in best_of(owner[place], given, k - draw, rows).tolist():
-                r = int(owner[place[i]])
+            # told apart in the hash by the unit's position and the number among the edges there
+            spot = (np.searchsorted(lat.base, lat.to[edge], side="right") * 64 + edge - lat.ptr[lat.to[edge]]).astype(np.uint64)
+            bits = walk_seed[walk] ^ (spot * np.uint64(arrays.WORD_BASE) + np.uint64(arrays.WORD_BASE))
+            phi = behind + lat.logp(edge)
+            given = -np.logaddexp(-tops[owner], np.log(-np.log(uniform(arrays.mixed(bits)))) - phi)
+            for i in best_of(owner, given, k - draw, rows).tolist():
+                r = int(owner[i])
                 agendas[r].append((float(given[i]), float(phi[i]), draw, int(place[i] - cuts[r]), int(edge[i]), int(walks[walk[i]])))
             for r in active:
                 edges, rest = tails[r]
@@ -328,7 +368,9 @@ def decoded(pieces: Pieces, ids: np.ndarray) -> np.ndarray:
     """The bytes that pieces stand for, with marks."""
     size = pieces.length[ids]
     head = np.cumsum(size) - size
-    return pieces.flat[np.repeat(pieces.start[ids] - head, size) + np.arange(int(size.sum()))]
+    at = np.repeat((pieces.start[ids] - head).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return pieces.flat[at]
 
 
 def decode(pieces: Pieces, ids: np.ndarray) -> str:
@@ -386,7 +428,7 @@ def sample(docs: DataFrame, model: Callable[[], str], doc_id: str = "doc_id", te
             round_trip=np.bincount(own, weights=np.array(same, float), minlength=len(rows)) == n,
         )
 
-    return arrays.map_texts(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, f"doc_id long, {FIELDS}")
+    return arrays.map_texts(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, f"doc_id long, {FIELDS}", size=BLOCK_BYTES)
 
 
 def pieces_of(drawn: Draws, edges: np.ndarray) -> np.ndarray:
