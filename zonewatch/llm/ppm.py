@@ -31,6 +31,8 @@ SAMPLE = 1500
 CONTEXTS = 16_384
 CELLS = 1 << 24
 UNKNOWN = "und"
+#: Bytes scored at once: every byte takes some 50 bytes of numbers.
+BLOCK_BYTES = 1 << 20
 #: Languages up to this number are broadcast with their sizes.
 LANGS = 100_000
 
@@ -87,16 +89,16 @@ class Model:
 
     def lengths(self, texts: arrays.Texts) -> np.ndarray:
         """Code length of each row in bits, a column per language."""
-        data = self.classes[arrays.LOWER[texts.data]]
+        data = self.classes.astype(np.int32)[arrays.LOWER[texts.data]]
         n = len(data)
         if not n:
             return np.zeros((len(texts), len(self.langs)))
-        place = np.arange(n) - np.repeat(texts.bounds[:-1], np.diff(texts.bounds))
-        at = np.zeros(n, np.int64)
+        place = np.arange(n, dtype=np.int32) - np.repeat(texts.bounds[:-1].astype(np.int32), np.diff(texts.bounds))
+        at = np.zeros(n, np.int32)
         for d in range(1, self.order + 1):
             longer = self.next[at[d:] * self.width + data[:-d]] if d < n else at[:0]
             at[d:] = np.where(place[d:] >= d, longer, at[d:])
-        at -= self.count * (at >= self.count)
+        at[at >= self.count] -= self.count
         cost = self.bits[at * self.width + data]
         full = np.flatnonzero(np.diff(texts.bounds))
         out = np.zeros((len(texts), len(self.langs)))
@@ -167,7 +169,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
         named = [trees.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
         return arrays.batch(**{c: batch[c] for c in keep}, lang_pred=arrays.strings(named), score=np.where(letters, score, 0.0))
 
-    return arrays.map_texts(kept, run, schema, "text_of_row")
+    return arrays.map_texts(kept, run, schema, "text_of_row", BLOCK_BYTES)
 
 
 def identified(docs: DataFrame, model: Model, min_score: float = 0.5, text: str = "text") -> DataFrame:
@@ -183,7 +185,7 @@ def identified(docs: DataFrame, model: Model, min_score: float = 0.5, text: str
         score = 1 / np.exp2(np.minimum(0, bits.min(axis=1)[:, None] - bits)).sum(axis=1)
         return batch.filter(pa.array(keep & (score >= min_score)))
 
-    return arrays.map_texts(docs, run, docs.schema, text)
+    return arrays.map_texts(docs, run, docs.schema, text, BLOCK_BYTES)
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
