@@ -404,3 +404,40 @@ def test_tagger_without_documents(spark):
     tagger = pii.learn(table(spark, [(1, "nothing here")]))
     assert not tagger.trained and pii.find(table(spark, []), tagger).count() == 0
     assert [r.spans for r in pii.find(table(spark, [(1, "a@b.cd")]), tagger).collect()] == ["email:0:6"]
+
+
+def test_tagger_reads_whole_texts():
+    """One path over the emissions of all windows, text by text, also where no digit and no @ stands."""
+    rng, draw = random.Random(9), np.random.default_rng(9)
+    tagger = pii.Tagger(seed=4)
+    tagger.p["trans"] = draw.normal(size=(pii.TAGS,) * 2)
+    tagger.p["bias"][0] = 2.0
+    texts = [pii.codes(prose(rng, LANGS["en"], n)) for n in (1, 3, 6, 12, 200)] + [pii.codes("x")]
+    middle = np.minimum(np.arange(pii.WIDTH) + 1, pii.WIDTH - np.arange(pii.WIDTH))
+    some = 0
+    for whole, found in zip(texts, tagger.tagged(texts), strict=True):
+        score, weight = np.zeros((len(whole), pii.TAGS)), np.zeros(len(whole))
+        for w in range(0, max(1, len(whole) - pii.WIDTH // 2), pii.WIDTH // 2):
+            part = whole[w : w + pii.WIDTH].astype(np.int64)
+            own, _ = tagger.emissions(np.pad(part, (0, pii.WIDTH - len(part)), constant_values=pii.CODES - 1)[None])
+            score[w : w + len(part)] += own[0, : len(part)] * middle[: len(part), None]
+            weight[w : w + len(part)] += middle[: len(part)]
+        path = tagger.viterbi(score / weight[:, None], np.array([0, len(whole)]))
+        assert found == pii.spans_of(path, 0)
+        some += 0 < (path > 0).sum() < len(path)
+    assert some
+
+
+def test_secrets_without_a_digit(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(12, 24)))
+    secrets = [word() for _ in range(400)]
+    rows = [(i, f"{prose(rng, LANGS['en'], 12)} password={s} {prose(rng, LANGS['en'], 14)}") for i, s in enumerate(secrets)]
+    assert pii.labelled("my password=correcthorsebattery") == [("secret", 12, 31)]
+    docs = table(spark, rows)
+    tagger = pii.learn(docs.where("doc_id < 250"), epochs=10)
+    held = docs.where("doc_id >= 250")
+    spans = {r.doc_id: r.spans for r in pii.find(held, tagger).collect()}
+    found = sum(f"secret:{t.index(secrets[i])}:{t.index(secrets[i]) + len(secrets[i])}" in spans[i].split(",") for i, t in rows[250:])
+    assert found >= 0.8 * 150
+    assert sum(secrets[r.doc_id] not in r.text for r in pii.redact(held, tagger).collect()) >= 0.8 * 150
