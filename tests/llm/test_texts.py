@@ -137,6 +137,34 @@ def test_code_lengths_are_those_of_the_trees(spark):
         assert model.lengths(arrays.as_texts(pa.array([None, text, ""])))[1, k] == pytest.approx(expected, rel=1e-4)
 
 
+@pytest.mark.parametrize(("cells", "group"), [(ppm.CELLS, ppm.GROUP), (0, ppm.GROUP), (ppm.CELLS, 1)])
+def test_a_rare_language_keeps_its_contexts(spark, cells, group, monkeypatch):
+    """All pairs of context and byte count, however many contexts a common language has, by table and by sorted array."""
+    monkeypatch.setattr(ppm.Model.__init__, "__defaults__", (group,))
+    rng = random.Random(3)
+    letters = "".join(map(chr, range(97, 123)))
+    noise = ["".join(rng.choice(letters) for _ in range(4000)) for _ in range(25)]
+    rows = [*((i, t, "en") for i, t in enumerate(noise)), (100, "xoquz vikyj", "rare"), (101, "xoquz", "rare")]
+    model = ppm.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=1000, cells=cells, least=1)
+    trained = {code: [t.encode() for _, t, c in rows if c == code] for code in model.langs}
+
+    def p(code, context, byte):
+        value = 1 / 256
+        for d in range(len(context) + 1):
+            string = context[len(context) - d :]
+            after = Counter(t[i + d] for t in trained[code] for i in range(len(t) - d) if t[i : i + d] == string)
+            total, distinct = sum(after.values()), len(after)
+            value = (after[byte] + distinct * value) / (total + distinct) if total else value
+        return value
+
+    texts = ["xoquz vikyj", "", "vikyjé qu", noise[0][:20], "x"]
+    found = model.lengths(arrays.as_texts(pa.array(texts)))
+    for text, row in zip(texts, found, strict=True):
+        data = text.encode()
+        for code, bits in zip(model.langs, row, strict=True):
+            assert bits == pytest.approx(-sum(math.log2(p(code, data[max(0, i - ppm.ORDER) : i], data[i])) for i in range(len(data))), rel=1e-4, abs=1e-6)
+
+
 def test_no_language_to_learn(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     model = ppm.learn(docs)

@@ -7,9 +7,13 @@ at last among 256 equal bytes. Code lengths are exact under these frozen statist
 with the shortest code wins. The score is its share when the code lengths are taken as likelihoods.
 
 Learning takes a bounded sample: about ``SAMPLE`` documents per language (whole texts), chosen by a hash
-of the id, and the ``CONTEXTS`` most frequent contexts over all languages. Counting runs in Spark; the
-driver gets the counts of the sample's contexts only. Prediction reads bytes alone: no id, source or
-label takes part. The compiled tables have at most ``CELLS`` numbers, which bounds the broadcast.
+of the id. Counting runs in Spark; the driver gets the counts of the sample alone. With ``least=1``, as the
+registered queries ask, every context and every byte seen after it stays, of a rare language too; by default
+pairs of context and byte seen once are left out. Prediction reads bytes alone: no id, source or label takes part.
+
+The trees of ``GROUP`` languages share one trie of byte strings, so memory grows with the sample's strings and not
+with their number times that of all languages. Where its steps take at most ``CELLS`` numbers over all groups they
+are a table by string and byte, else a sorted array; both give the same.
 
 Defined cases: a null text and a text without a letter give ``und`` and score 0; equal code lengths go to
 the language that sorts first; with no language learned all is ``und``; repeated rows give a row each.
@@ -28,7 +32,7 @@ from zonewatch.llm.shared import written
 
 ORDER = 4
 SAMPLE = 1500
-CONTEXTS = 16_384
+GROUP = 8
 CELLS = 1 << 24
 UNKNOWN = "und"
 #: Bytes scored at once: every byte takes some 50 bytes of numbers.
@@ -37,72 +41,102 @@ BLOCK_BYTES = 1 << 20
 LANGS = 100_000
 
 
-class Model:
-    """Compiled trees: ``next`` descends from a context to a longer one, ``bits`` has the code length
-    of each byte class after each context, a column per language."""
+class Trees:
+    """The trees of some languages. A node is a byte string up to ``order + 1`` long, in its two roles: as a context
+    and the byte after it, and as the context of the next byte. ``bits`` has the code length of the byte less the
+    escapes of its context and all shorter ones, ``escapes`` those of the string as a context, a column per language:
+    the longest known string and the longest known context give a byte's code length, whatever lies in between."""
 
-    def __init__(self, langs: list[str], keys: np.ndarray, lang: np.ndarray, n: np.ndarray, order: int, contexts: int, cells: int):
+    def __init__(self, keys: np.ndarray, lang: np.ndarray, n: np.ndarray, langs: int, order: int, cells: int):
         """keys: ``order * 2**56 + context and byte``, the context's last byte lowest but one."""
-        self.langs, self.order = langs, order
-        depth, packed = keys >> 56, keys & ((1 << 56) - 1)
+        self.order = order
+        names, place = np.unique(keys, return_inverse=True)
+        depth, packed = names >> 56, names & ((1 << 56) - 1)
+        # 0: no node, 1: the empty string, then by length
+        count, self.inner = len(names) + 2, 2 + int(np.searchsorted(depth, order))
+        shift = 8 * np.maximum(depth, 1)
+        shorter = (np.maximum(depth, 1) - 1) << 56
+        parent, context = np.ones(count, np.int64), np.ones(count, np.int64)
+        longer = depth > 0
+        parent[2:][longer] = 2 + np.searchsorted(names, (shorter | (packed & ((1 << shift) - 1)))[longer])
+        context[2:][longer] = 2 + np.searchsorted(names, (shorter | (packed >> 8))[longer])
+        left = (packed >> (8 * depth)).astype(np.int64)
+        self.classes = np.zeros(256, np.int32)  # class 0: bytes never seen
         seen = np.unique(packed & 255)
-        self.classes = np.zeros(256, np.int64)  # class 0: bytes never seen
         self.classes[seen] = np.arange(1, len(seen) + 1)
-        width = len(seen) + 1
-        context = (depth << 56) | (packed >> 8)
-        names, place = np.unique(context, return_inverse=True)
-        total = np.bincount(place, weights=n)
-        size = max(1, min(contexts, cells // (width * max(1, len(langs)))))
-        best = np.lexsort((names, names >> 56, -total))[:size]  # a shorter suffix comes before its extensions
-        best = best[np.argsort(names[best] >> 56, kind="stable")]
-        node = np.full(len(names), -1)
-        node[best] = np.arange(len(best))
-        of = {int(names[b]): i for i, b in enumerate(best)}
-        count = len(best)
-        # children: the context extended by one more byte to the left; a node that cannot be extended
-        # leads to its own stop, which leads to itself
-        self.next = np.repeat(np.arange(count, dtype=np.int32)[:, None] + count, width, axis=1)
-        parent = np.zeros(count, np.int64)
-        for i, b in enumerate(best):
-            d, c = int(names[b]) >> 56, int(names[b]) & ((1 << 56) - 1)
-            if d:
-                parent[i] = of[((d - 1) << 56) | (c & ((1 << (8 * (d - 1))) - 1))]
-                self.next[parent[i], self.classes[c >> (8 * (d - 1))]] = i
-        self.next = np.concatenate([self.next, np.repeat(np.arange(count, 2 * count, dtype=np.int32)[:, None], width, axis=1)])
-        p = np.full((count, width, len(langs)), 1 / 256)
-        depths = (names[best] >> 56).astype(int)
-        own = node[place]
-        for i in range(len(langs)):
-            of_lang = (lang == i) & (own >= 0)
-            at, symbol, times = own[of_lang], self.classes[packed[of_lang] & 255], n[of_lang].astype(float)
-            totals, distinct = np.bincount(at, weights=times, minlength=count), np.bincount(at, minlength=count)
+        self.width = len(seen) + 1
+        edge = parent[2:] * self.width + self.classes[left]
+        self.next = self.edges = self.ends = None
+        if self.inner * self.width <= cells:
+            self.next = np.zeros(self.inner * self.width, np.int32)
+            self.next[edge] = np.arange(2, count)
+        else:
+            by = np.argsort(edge)
+            self.edges, self.ends = np.append(edge[by], np.iinfo(np.int64).max), np.append(by + 2, 0).astype(np.int32)
+        self.bits, self.escapes = np.zeros((count, langs), np.float32), np.zeros((count, langs), np.float32)
+        levels = [2 + np.flatnonzero(depth == d) for d in range(order + 1)]
+        for i in range(langs):
+            mine = lang == i
+            at, times = 2 + place[mine], n[mine].astype(float)
+            totals, distinct = np.bincount(context[at], weights=times, minlength=count), np.bincount(context[at], minlength=count)
             escape = np.where(distinct > 0, distinct / np.maximum(totals + distinct, 1), 1.0)
-            for d in range(order + 1):
-                level = np.flatnonzero(depths == d)
-                p[level, :, i] = escape[level, None] * (p[parent[level], :, i] if d else 1 / 256)
-                here = depths[at] == d
-                p[at[here], symbol[here], i] += times[here] / (totals + distinct)[at[here]]
-        # without exclusion: a shorter context also codes what the longer one knows
-        self.bits = -np.log2(p).astype(np.float32)
-        self.next, self.bits = self.next.ravel(), self.bits.reshape(count * width, len(langs))
-        self.width, self.count = width, count
+            share = np.zeros(count)
+            share[at] = times / (totals + distinct)[context[at]]
+            p, spent = np.full(count, 1 / 256), np.zeros(count)
+            spent[1] = -np.log2(escape[1])
+            # without exclusion: a shorter context also codes what the longer one knows
+            for level in levels:
+                p[level] = escape[context[level]] * p[parent[level]] + share[level]
+                spent[level] = spent[parent[level]] - np.log2(escape[level])
+            self.bits[:, i] = -np.log2(p) - np.where(np.arange(count) > 1, spent[context], 0)
+            self.escapes[:, i] = spent
+
+    def step(self, node: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """The nodes of the strings that are one byte longer to the left; 0 where there is none."""
+        if self.next is not None:
+            return self.next[node * np.int32(self.width) + data]
+        edge = node.astype(np.int64) * self.width + data
+        at = np.searchsorted(self.edges, edge)
+        return np.where(self.edges[at] == edge, self.ends[at], 0)
+
+    def costs(self, texts: arrays.Texts) -> np.ndarray:
+        """Code length of each byte in bits, a column per language."""
+        data = self.classes[arrays.LOWER[texts.data]]
+        n, starts = len(data), texts.bounds[:-1][np.diff(texts.bounds) > 0]
+        known = at = self.step(np.ones(n, np.int32), data)
+        known = np.maximum(known, 1)
+        context = np.ones(n, np.int32)
+        for d in range(1, self.order + 1):
+            if d == self.order:
+                context[1:] = known[:-1]
+            at = at[1:] if d < n else at[:0]  # ends at the same byte as data from d on
+            at = self.step(at, data[: len(at)])
+            for j in range(d):  # a string stays in its text
+                cut = starts + j - d
+                at[cut[(cut >= 0) & (cut < len(at))]] = 0
+            known[n - len(at) :] = np.maximum(known[n - len(at) :], at)
+        if not self.order:
+            context[:] = 1
+        context[starts] = 1
+        return self.bits[known] + self.escapes[context]
+
+
+class Model:
+    """The trees of all languages, by groups."""
+
+    def __init__(self, langs: list[str], keys: np.ndarray, lang: np.ndarray, n: np.ndarray, order: int, cells: int, group: int = GROUP):
+        self.langs, self.group, self.trees = langs, group, []
+        groups = -(-len(langs) // group)
+        for first in range(0, len(langs), group):
+            mine = (lang >= first) & (lang < first + group)
+            self.trees.append(Trees(keys[mine], lang[mine] - first, n[mine], min(group, len(langs) - first), order, cells // groups))
 
     def lengths(self, texts: arrays.Texts) -> np.ndarray:
         """Code length of each row in bits, a column per language."""
-        data = self.classes.astype(np.int32)[arrays.LOWER[texts.data]]
-        n = len(data)
-        if not n:
-            return np.zeros((len(texts), len(self.langs)))
-        place = np.arange(n, dtype=np.int32) - np.repeat(texts.bounds[:-1].astype(np.int32), np.diff(texts.bounds))
-        at = np.zeros(n, np.int32)
-        for d in range(1, self.order + 1):
-            longer = self.next[at[d:] * self.width + data[:-d]] if d < n else at[:0]
-            at[d:] = np.where(place[d:] >= d, longer, at[d:])
-        at[at >= self.count] -= self.count
-        cost = self.bits[at * self.width + data]
-        full = np.flatnonzero(np.diff(texts.bounds))
         out = np.zeros((len(texts), len(self.langs)))
-        out[full] = np.add.reduceat(cost, texts.bounds[full], axis=0, dtype=np.float64)
+        full = np.flatnonzero(np.diff(texts.bounds))
+        for k, trees in enumerate(self.trees if len(full) else []):
+            out[full, k * self.group : (k + 1) * self.group] = np.add.reduceat(trees.costs(texts), texts.bounds[full], axis=0, dtype=np.float64)
         return out
 
 
@@ -121,8 +155,9 @@ def sample(docs: DataFrame, doc_id: str, lang: str, per_lang: int) -> DataFrame:
     return docs.join(sizes, lang).where(drawn < share).drop("rows_of_lang")
 
 
-def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, per_lang: int = SAMPLE, contexts: int = CONTEXTS, cells: int = CELLS) -> Model:
-    """Trees of every non-null language among ``docs``, from rows with a letter in their text."""
+def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, per_lang: int = SAMPLE, cells: int = CELLS, least: int = 2) -> Model:
+    """Trees of every non-null language among ``docs``, from rows with a letter in their text. Beyond order 0, pairs of
+    context and byte seen less than ``least`` times are left out; with 1 all stay."""
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(r"lang IS NOT NULL AND text RLIKE '\\p{L}'")
 
     def count(batch, texts):
@@ -143,12 +178,12 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         return arrays.batch(lang=arrays.strings(names), key=np.concatenate(keys or [np.zeros(0, np.int64)]), n=np.concatenate(ns or [np.zeros(0, np.int64)]))
 
     counted = arrays.map_texts(sample(known, "doc_id", "lang", per_lang), count, "lang string, key long, n long")
-    total = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).where("n > 1 OR shiftright(key, 56) = 0")
+    total = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).where(F.expr("shiftright(key, 56) = 0") | (F.col("n") >= least))
     rows = total.toArrow()
     names = rows["lang"].to_numpy().astype(str)
     langs = sorted(set(names))
     code = {x: i for i, x in enumerate(langs)}
-    return Model(langs, rows["key"].to_numpy().astype(np.int64), np.array([code[x] for x in names], np.int64), rows["n"].to_numpy(), order, contexts, cells)
+    return Model(langs, rows["key"].to_numpy().astype(np.int64), np.array([code[x] for x in names], np.int64), rows["n"].to_numpy(), order, cells)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

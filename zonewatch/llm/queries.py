@@ -50,7 +50,7 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", ppm.held_out())
-    return ppm.predict(docs, ppm.learn(docs.where("NOT held_out")), keep=("doc_id", "held_out"))
+    return ppm.predict(docs, ppm.learn(docs.where("NOT held_out"), least=1), keep=("doc_id", "held_out"))
 
 
 def op7_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
