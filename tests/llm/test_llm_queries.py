@@ -131,6 +131,15 @@ def test_op10(spark, documents):
     assert all(r.n_samples == piece_sampling.DRAWS == len(r.n_pieces) for i, r in found.items() if len(documents[i].text or "") > 20)
 
 
+def test_op10_returns_the_segmentations(spark, documents):
+    found = result(spark, "op10_piece_sampling")
+    pieces = piece_sampling.loaded(public_tokenizer("piece_bpe_32k.model")(), piece_sampling.ALPHA)
+    for i, r in found.items():
+        assert [len(x) for x in r.ids] == r.n_pieces and len({tuple(x) for x in r.ids}) == r.n_samples
+        assert [zlib.crc32(np.array(x, "<u4").tobytes()) for x in r.ids] == r.ids_crc32
+        assert {piece_sampling.decode(pieces, x) for x in r.ids} == {(documents[i].text or "").replace("▁", " ")}
+
+
 def test_the_pipeline_keeps_and_changes_what_it_should(spark, documents):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = [WORD.findall(r.text.translate(LOWER)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

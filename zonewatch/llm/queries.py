@@ -67,7 +67,7 @@ def op9_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_sampling.sample(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"), with_ids=False).drop("ids")
+    return piece_sampling.sample(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"))
 
 
 def registry() -> dict[str, Query]:
