@@ -53,5 +53,31 @@ FROM s JOIN b USING (sha) JOIN f USING (sha)
 """
 
 
+OP12 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM w, (VALUES (1), (2), (3), (4)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) WHERE len(w) >= k),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+parts AS (SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS lp, array_to_string(w[i + 1:], ' ') AS rp FROM c, (VALUES (1), (2), (3)) AS t(i) WHERE i < k),
+cut AS (
+  SELECT parts.lang, parts.phrase, i, l.a AS l, r.a AS r, (2000000 * parts.a) // (l.a + r.a) AS score
+  FROM parts JOIN f l ON l.lang = parts.lang AND l.phrase = lp JOIN f r ON r.lang = parts.lang AND r.phrase = rp
+),
+low AS (SELECT lang, phrase, arg_min({'l': l, 'r': r, 'score': score}, score * 10 + i) AS x FROM cut GROUP BY ALL),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM c, (VALUES (2), (3)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) WHERE m < k GROUP BY ALL
+),
+left_ AS (SELECT c.lang, c.phrase, c.a, x.l AS l, x.r AS r, x.score AS score FROM c JOIN low USING (lang, phrase) LEFT JOIN inner_ i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * c.a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_) JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op3_pca_tiles": OP3, "op7_warc_segments": OP7, "op8_decontaminate": OP8}
+    return {"op3_pca_tiles": OP3, "op7_warc_segments": OP7, "op8_decontaminate": OP8, "op12_collocations": OP12}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewatch.llm import decontaminate, icws, kneser_ney, licenses, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
+from zonewatch.llm import collocations, decontaminate, icws, kneser_ney, licenses, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,5 +70,9 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.sample(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

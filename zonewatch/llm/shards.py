@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonewatch.llm.shared import new_folder, opened
 
@@ -134,3 +135,21 @@ def store(parts: DataFrame, merge, kinds: tuple[str, ...], n: int, extra: str =
     made = parts.groupBy("bucket").applyInArrow(run, schema).toArrow()
     rows = zip(*(made[c].to_pylist() for c in ("bucket", "path", "n")), strict=True)
     return Shards(n, kinds, {b: (path, size) for b, path, size in rows if size}), made
+
+
+def kept(rows: DataFrame, kinds: tuple[str, ...], n: int) -> Shards:
+    """Distinct ``key`` longs, read as unsigned, and a column of each kind behind them, as ``n`` files."""
+    columns = [c for c in rows.columns if c != "key"]
+    bucket = F.expr(f"cast(shiftrightunsigned(shiftrightunsigned(key, 48) * {n}L, 16) AS int)")
+
+    def merge(table):
+        keys = table["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        return keys[order], [table[c].to_numpy()[order] for c in columns], {}
+
+    return store(rows.withColumn("bucket", bucket), merge, kinds, n)[0]
+
+
+def enough(spark: SparkSession, rows: int, each: int = 500_000) -> int:
+    """Buckets of about ``each`` rows, as many as the shuffles have partitions at least."""
+    return max(buckets(spark), min(1 << 16, -(-rows // each)))
