@@ -79,5 +79,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 """
 
 
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS x FROM d, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS t(i)),
+o AS (SELECT x, min(doc_id) AS first FROM s GROUP BY x HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT r, i FROM s JOIN o USING (x) WHERE first < doc_id),
+e AS (SELECT r, i, CASE WHEN lag(i) OVER (PARTITION BY r ORDER BY i) + 50 >= i THEN 0 ELSE 1 END AS opens FROM m),
+runs AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY i) AS g FROM e) GROUP BY r, g),
+cuts AS (SELECT r, b AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS b FROM (SELECT r, -1 AS a, 0 AS b FROM d UNION ALL SELECT r, a, b FROM runs)),
+k AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, len(h) // 2) - a)), '' ORDER BY a) AS kept FROM d JOIN cuts USING (r) GROUP BY r),
+n AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN k USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op3_pca_tiles": OP3, "op7_warc_segments": OP7, "op8_decontaminate": OP8, "op12_collocations": OP12}
+    return {"op3_pca_tiles": OP3, "op7_warc_segments": OP7, "op8_decontaminate": OP8, "op12_collocations": OP12, "op13_repeated_passages": OP13}

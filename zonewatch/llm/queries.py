@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewatch.llm import collocations, decontaminate, icws, kneser_ney, licenses, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
+from zonewatch.llm import collocations, decontaminate, icws, kneser_ney, licenses, passages, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,5 +74,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return passages.scan(docs, passages.learn(docs)).drop("spans")
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
