@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewatch.llm import collocations, decontaminate, icws, kneser_ney, licenses, passages, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
+from zonewatch.llm import alignment, collocations, decontaminate, icws, kneser_ney, licenses, passages, pca_tiles, piece_sampling, pii, ppm, warc, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,11 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.sample(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, b).drop("pairs", "times")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
