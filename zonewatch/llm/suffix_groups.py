@@ -10,11 +10,11 @@ than its first.
    they are pointed at: their Lyndon prefix has grown by that of the group. In the end a group holds the suffixes
    with one Lyndon prefix, and groups are in order.
 2. From the lowest suffix up, each suffix fixes the next places in their groups of those whose Lyndon prefix ends
-   where it begins: the one before it and, along the pointers, those before that, until one is in place already.
+   where it begins. All suffixes of a group that have their places are taken at once, in their order.
 
 Groups are intervals of the array named by their first place, and members change places inside an interval, so nothing
-is renamed or sorted again. Each suffix is grouped, pointed at and placed a constant number of times; the collections
-take their steps side by side, one group or one suffix of each at a time.
+is renamed or sorted again. The collections take their steps side by side, one group of each at a time; what many
+strings of a collection have in common is one group.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ class Groups:
         n = len(text)
         self.text, self.bounds = text, bounds
         owner = np.repeat(np.arange(len(bounds)), np.diff(np.concatenate([[0], bounds])))
+        self.slot = _sorted(owner, text)
         letter = owner * (int(text.max()) + 1) + text
-        self.slot = np.argsort(letter, kind="stable")
         self.place = np.empty(n, np.int64)
         self.place[self.slot] = np.arange(n)
         first = runs(letter[self.slot])
@@ -55,6 +55,8 @@ class Groups:
         self.group[self.slot] = np.repeat(first, self.end[first] - first)
         self.before = np.arange(n) - 1
         self.pointed = np.zeros(n, bool)
+        #: Lengths of the Lyndon prefixes as far as they are known.
+        self.size = np.ones(n, np.int64)
 
     def refine(self) -> None:
         top = self.bounds[1:].copy()
@@ -66,26 +68,36 @@ class Groups:
             if not len(top):
                 return
             start = self.group[highest]
-            self._process(self.slot[ragged(start, top - start)])
+            self._process(start, top - start)
             top = start
 
-    def _process(self, at: np.ndarray) -> None:
-        """The groups of the suffixes ``at``, one of each collection."""
-        group, own = self.group, self.group[at]
+    def _process(self, start: np.ndarray, members: np.ndarray) -> None:
+        """The groups that begin at ``start``, one of each collection."""
+        group = self.group
+        at = self.slot[ragged(start, members)]
+        own = np.repeat(start, members)
         cur = at - 1
         todo = np.flatnonzero(group[cur] >= own)
         while len(todo):
-            cur[todo] = self.before[cur[todo]]
-            todo = todo[group[cur[todo]] >= own[todo]]
+            there = self.before[cur[todo]]
+            cur[todo] = there
+            todo = todo[group[there] >= own[todo]]
         self.before[at] = cur
-        cur = np.sort(cur[self.text[cur] != 0])
+        cur = cur[self.text[cur] != 0]
         if not len(cur):
             return
+        cur = np.sort(cur)
         first = runs(cur)
         moved, times = cur[first], np.diff(np.append(first, len(cur)))
         home = group[moved]
-        order = np.lexsort((times, home))
-        moved, times, home = moved[order], times[order], home[order]
+        if times.max() > 1:
+            order = np.lexsort((times, home))
+            moved, times, home = moved[order], times[order], home[order]
+        elif (home[1:] < home[:-1]).any():
+            order = np.argsort(home, kind="stable")
+            moved, home = moved[order], home[order]
+        # all that point at one suffix have one Lyndon prefix
+        self.size[moved] += times * self.size[self.next_of(moved)]
         head = runs(home)
         count = np.diff(np.append(head, len(home)))
         homes = home[head]
@@ -95,9 +107,10 @@ class Groups:
         there = self.slot[target]
         there = there[~self.pointed[there]]
         self.pointed[moved] = False
-        holes = self.place[moved]
-        holes = holes[holes < np.repeat(back, count)]
-        self.slot[holes], self.place[there] = there, holes
+        if len(there):
+            holes = self.place[moved]
+            holes = holes[holes < np.repeat(back, count)]
+            self.slot[holes], self.place[there] = there, holes
         self.slot[target], self.place[moved] = moved, target
         new = runs(home, times)
         begin, size = target[new], np.diff(np.append(new, len(home)))
@@ -106,32 +119,55 @@ class Groups:
         self.end[homes[left]] = back[left]
         self.end[begin] = begin + size
 
+    def next_of(self, at: np.ndarray) -> np.ndarray:
+        """Where the Lyndon prefixes known so far end; what follows there points at its suffix next."""
+        return at + self.size[at]
+
     def emit(self) -> np.ndarray:
         """The suffix array: collection k's suffixes in order at [bounds[k], bounds[k + 1])."""
         n = len(self.text)
         out = np.zeros(n, np.int64)
-        zeros = np.flatnonzero(self.text == 0)
-        done = np.zeros(n, bool)
-        done[zeros] = True
-        free = np.arange(n)
+        zero = self.text == 0
+        zeros, others = np.flatnonzero(zero), np.flatnonzero(~zero)
         group = self.group[zeros]
-        out[ragged(np.unique(group), np.unique(group, return_counts=True)[1])] = zeros
+        first = runs(group)
+        out[ragged(group[first], np.diff(np.append(first, len(group))))] = zeros
+        # those whose prefix ends at a place, by place
+        follows = self.next_of(others)
+        behind = others[np.argsort(follows, kind="stable")]
+        many = np.bincount(follows, minlength=n)
+        begin = np.cumsum(many) - many
+        free = np.arange(n)
+        free[group[first]] = self.end[group[first]]
         at, end = self.bounds[:-1].copy(), self.bounds[1:]
         while True:
             live = at < end
             at, end = at[live], end[live]
             if not len(at):
                 return out
-            cur = out[at] - 1
-            at += 1
-            cur = cur[~done[cur]]
-            while len(cur):
-                own = self.group[cur]
-                out[free[own]] = cur
-                free[own] += 1
-                done[cur] = True
-                cur = self.before[cur]
-                cur = cur[~done[cur]]
+            # the places of the present group that are taken
+            to = free[self.group[out[at]]]
+            popped = out[ragged(at, to - at)]
+            at = to
+            cur = behind[ragged(begin[popped], many[popped])]
+            if len(cur):
+                home = self.group[cur]
+                if (home[1:] < home[:-1]).any():
+                    order = np.argsort(home, kind="stable")
+                    cur, home = cur[order], home[order]
+                first = runs(home)
+                count = np.diff(np.append(first, len(home)))
+                own = home[first]
+                out[ragged(free[own], count)] = cur
+                free[own] += count
+
+
+def _sorted(owner: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places by owner, then letter; owners are in order already."""
+    order = np.argsort(text.astype(np.uint16), kind="stable")
+    if owner[-1] < 1 << 16:
+        return order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+    return order[np.argsort(owner[order], kind="stable")]
 
 
 def suffix_array(text: np.ndarray, bounds: np.ndarray) -> np.ndarray:
