@@ -224,18 +224,6 @@ def test_a_repeated_batch_keeps_its_arrival_time(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
-def test_compaction_changes_no_row_and_can_be_repeated(spark, tmp_path):
-    live, old = str(tmp_path / "live"), str(tmp_path / "old")
-    for batch_id, start in enumerate((0, 700, 1430, 2000)):
-        sinks.point_batches(live, "alerts")(alerts(spark, [alert(start + i) for i in range(20)]), batch_id)
-    before = at(1440).date()
-    for _ in range(2):
-        sinks.compact_points(spark, live, old, before)
-    found = sinks.all_points(spark, live, old, before)
-    assert sorted(r["time"] for r in rows(found)) == sorted(r["time"] for r in rows(spark.read.parquet(live)))
-    assert spark.read.parquet(old).select("date").distinct().count() == 1 and "batch" not in found.columns
-
-
 def test_panels_read_the_days_of_their_range_only(spark, tmp_path):
     data = [("pollution", "z", "d", "aqi", float(i), at(10 * i)) for i in range(1000)]
     points_table = spark.createDataFrame(data, POINT_SCHEMA).withColumn("date", F.to_date("time"))

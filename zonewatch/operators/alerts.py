@@ -25,6 +25,8 @@ RECORD_SCHEMA = (
     "alert_message string, type_capteur string, valeur_detectee double"
 )
 INCIDENT_KEYS = ("zone", "type_capteur")
+ROUTE_SCHEMA = "type_capteur string, alert_level string, destinataire string, canal string, delai_max_min int"
+BROADCAST_ROUTES = 10_000
 
 
 def records(alerts: DataFrame) -> DataFrame:
@@ -33,14 +35,19 @@ def records(alerts: DataFrame) -> DataFrame:
     return renamed.select(*RECORD_COLUMNS)
 
 
-def packed(alert_records: DataFrame) -> DataFrame:
+def packed(alert_records: DataFrame, *keep: str) -> DataFrame:
     """One JSON text per record in ``value``; null fields are left out of the text."""
-    return alert_records.select(F.to_json(F.struct(*RECORD_COLUMNS)).alias("value"))
+    return alert_records.select(*keep, F.to_json(F.struct(*RECORD_COLUMNS)).alias("value"))
 
 
-def unpacked(messages: DataFrame) -> DataFrame:
-    """Records from published messages."""
-    return messages.select(F.from_json(F.col("value").cast("string"), RECORD_SCHEMA).alias("a")).select("a.*")
+def as_messages(alert_records: DataFrame, topic: str) -> DataFrame:
+    """Records as messages of a topic, keyed by zone: a zone's alerts stay in order."""
+    return packed(alert_records.select("*", F.col("zone").cast("binary").alias("key")), "key").select(F.lit(topic).alias("topic"), "key", F.col("value").cast("binary").alias("value"))
+
+
+def unpacked(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records from published messages, with the columns ``keep`` of the message."""
+    return messages.select(*keep, F.from_json(F.col("value").cast("string"), RECORD_SCHEMA).alias("a")).select(*keep, "a.*")
 
 
 def serving(alert_records: DataFrame) -> DataFrame:
@@ -60,15 +67,16 @@ def attributed(alerts: DataFrame, sensors) -> DataFrame:
 
 
 def route_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(settings.ROUTES),
-        "type_capteur string, alert_level string, destinataire string, canal string, delai_max_min int",
-    )
+    return spark.createDataFrame(list(settings.ROUTES), ROUTE_SCHEMA)
 
 
-def routed(alerts: DataFrame) -> DataFrame:
-    """Alerts with recipient, channel and allowed delay. The route table has a fixed eight rows."""
-    routes = F.broadcast(route_table(alerts.sparkSession))
+def routed(alerts: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """Alerts with recipient, channel and allowed delay. The built-in route table has a fixed eight rows; a given one is
+    counted, up to ``BROADCAST_ROUTES``, before it is broadcast, and joined by a shuffle beyond that."""
+    if routes is None:
+        routes = F.broadcast(route_table(alerts.sparkSession))
+    elif routes.limit(BROADCAST_ROUTES + 1).count() <= BROADCAST_ROUTES:
+        routes = F.broadcast(routes)
     return alerts.join(routes, ["type_capteur", "alert_level"], "left")
 
 
@@ -129,6 +137,38 @@ def latency(alert_records: DataFrame, arrival: Column) -> DataFrame:
     )
 
 
+def latency_partials(alert_records: DataFrame, arrival: Column) -> DataFrame:
+    """Latencies of a micro-batch per sensor in a form that adds up: number, extremes, sum, and a sketch of quantiles."""
+    micros = F.unix_micros(arrival) - F.unix_micros(F.col("debut_fenetre"))
+    seconds = alert_records.select("type_capteur", (micros / F.lit(1e6)).alias("s")).filter("s IS NOT NULL")
+    return seconds.groupBy("type_capteur").agg(
+        F.count("s").alias("nb"),
+        F.min("s").alias("least"),
+        F.max("s").alias("most"),
+        F.sum("s").alias("total"),
+        F.kll_sketch_agg_double("s").alias("sketch"),
+    )
+
+
+def latency_report(partials: DataFrame, quantiles: tuple[float, ...] = ()) -> DataFrame:
+    """The same columns as ``latency`` from partials of any number of micro-batches, and the wanted quantiles. For those, a
+    sensor's sketches meet in one row, some kilobytes per micro-batch."""
+    rest = F.slice("sketches", F.lit(2), F.size("sketches"))
+    merge = F.reduce(rest, F.col("sketches")[0], lambda a, b: F.kll_sketch_merge_double(a, b))
+    found = partials.groupBy("type_capteur").agg(
+        F.sum("nb").alias("nb_alertes"),
+        F.min("least").alias("latence_min"),
+        F.try_divide(F.sum("total"), F.sum("nb")).alias("latence_moy"),
+        F.max("most").alias("latence_max"),
+        *([F.collect_list("sketch").alias("sketches")] if quantiles else []),
+    )
+    shown = [F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"latence_q{100 * q:g}") for q in quantiles]
+    if quantiles:
+        found = found.withColumn("sketch", merge)
+    goal = (F.col("latence_max") < settings.LATENCY_TARGET_SECONDS).alias("objectif_atteint")
+    return found.select("type_capteur", "nb_alertes", "latence_min", "latence_moy", "latence_max", goal, *shown)
+
+
 def incidents(alerts: DataFrame, gap: str = settings.INCIDENT_GAP, chunk: str = "1 day") -> DataFrame:
     """Runs of alert windows per zone and sensor; a run ends when no window starts within ``gap``.
 

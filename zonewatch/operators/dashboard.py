@@ -1,6 +1,7 @@
 """Dashboard queries over point tables. ``now`` is always given, so results can be repeated.
 
-A series is one (measurement, zone, device, field). Time buckets carry their start.
+A series is one (measurement, zone, device, field). Time buckets carry their start. Panels take points, or the partial
+sums of ``rollups`` in their place.
 """
 
 from __future__ import annotations
@@ -31,12 +32,15 @@ def of(points: DataFrame, measurement: str, *fields: str) -> DataFrame:
 
 def bucket_means(points: DataFrame, every: str) -> DataFrame:
     """Tumbling mean per series; empty buckets give no row."""
-    means = points.groupBy(F.window("time", every).alias("bucket"), *SERIES).agg(F.avg("value").alias("value"))
+    mean = F.try_divide(F.sum("total"), F.sum("n")) if "total" in points.columns else F.avg("value")
+    means = points.groupBy(F.window("time", every).alias("bucket"), *SERIES).agg(mean.alias("value"))
     return means.select(F.col("bucket.start").alias("time"), *SERIES, "value")
 
 
 def latest(points: DataFrame) -> DataFrame:
     """Last non-null value per series; of several at the same time the greatest."""
+    if "total" in points.columns:
+        points = points.select(*SERIES, F.col("last_time").alias("time"), F.col("last_value").alias("value"))
     last = F.max(F.struct("time", "value")).alias("last")
     found = points.filter(F.col("value").isNotNull()).groupBy(*SERIES).agg(last)
     return found.select(*SERIES, "last.time", "last.value")

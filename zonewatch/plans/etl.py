@@ -11,7 +11,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonewatch.operators import clean, daily, parse
@@ -55,8 +56,10 @@ def load(lines: DataFrame, lake: str, sensor: Sensor, batch: str) -> int:
     stored = tables.processed(spark, lake, name)
     good = staged.filter("reject_reason IS NULL")
     known = clean.on_days(stored, good) if stored is not None else None
-    fresh = _staged(clean.new_rows(clean.without_rejects(staged, sensor), known), f"{lake}/staging/{name}/fresh")
-    rows = fresh.count()
+    counted = Observation("new rows")
+    new = clean.new_rows(clean.without_rejects(staged, sensor), known).observe(counted, F.count(F.lit(1)).alias("rows"))
+    fresh = _staged(new, f"{lake}/staging/{name}/fresh")
+    rows = counted.get["rows"]  # counted as they were written
     if rows:
         days = fresh.select("date_partition").distinct().coalesce(1)
         days.write.mode("append").parquet(f"{lake}/pending/{name}")
@@ -149,9 +152,11 @@ def run_all(spark: SparkSession, raw_root: str, lake: str, names=None) -> list[R
 def load_new_files(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor, checkpoint: str) -> None:
     """The same load over the raw files that arrived since the last call, for an hourly schedule.
 
-    Days that an earlier call left without aggregates are made up for first. Every batch is logged; a
-    failed load or snapshot is raised after that, and a failed load is taken up again by the next call.
+    Days that an earlier call left without aggregates are made up for first. Every batch is logged, and a call that finds
+    no new files or no folder too; a failed load or snapshot is raised after that, and a failed load is taken up
+    again by the next call.
     """
+    begun, taken = time.monotonic(), []
     prepare(spark)
     _raise(refresh_owed(spark, lake, sensor.name))
 
@@ -165,18 +170,26 @@ def load_new_files(spark: SparkSession, raw_root: str, lake: str, sensor: Sensor
         status = SUCCESS if failed is None else _failure(failed)
         seconds = round(time.monotonic() - begun, 2)
         log_runs(spark, lake, [Run(sensor.name, status, rows, snapshot, seconds, datetime.now(timezone.utc))])
+        taken.append(batch_id)
         if failed is not None:
             raise failed
         _raise(snapshot)
 
-    stream = spark.readStream.text(tables.raw_path(raw_root, sensor.name))
-    query = (
-        stream.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    try:
+        stream = spark.readStream.text(tables.raw_path(raw_root, sensor.name))
+        query = (
+            stream.writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    except AnalysisException as err:
+        if err.getCondition() not in tables.ABSENT:
+            raise
+    if not taken:
+        seconds = round(time.monotonic() - begun, 2)
+        log_runs(spark, lake, [Run(sensor.name, NO_DATA, 0, None, seconds, datetime.now(timezone.utc))])
 
 
 def _raise(snapshot: str | None) -> None:

@@ -549,7 +549,20 @@ SELECT window_start AS debut_fenetre, window_end AS fin_fenetre, zone, alert_lev
     )
     sql["stream_pipeline_points"] = f"{READINGS}\nSELECT {point_columns} FROM ({stream_rows})"
     for name in ("dash_aqi_latest", "dash_traffic_ts", "dash_pollution_ts", "dash_fill_latest", "dash_lighting_latest"):
-        sql[f"{name}_stored"] = sql[name]
+        sql[f"{name}_stored"] = sql[f"{name}_rollup"] = sql[name]
+    sql["stream_incidents_resolved"] = f"""WITH i AS ({incidents()})
+SELECT zone, type_capteur, 'resolu' AS evenement, debut, fin, resolu, nb_fenetres, nb_rouge, valeur_max FROM i
+UNION ALL SELECT zone, type_capteur, 'ouvert', debut, NULL, NULL, NULL, NULL, NULL FROM i"""
+    sql["stream_supervised"] = sql["stream_alerts_traffic"]
+    sql["stream_routed_alerts"] = f"""{RECORDS}
+SELECT debut_fenetre, zone, type_capteur, alert_level, destinataire,
+  CASE WHEN hour(debut_fenetre) >= 6 AND alert_level = 'ROUGE' THEN 'Astreinte' ELSE canal END AS canal,
+  CASE WHEN hour(debut_fenetre) >= 6 AND alert_level = 'ROUGE' THEN 1 ELSE delai_max_min END AS delai_max_min
+FROM records LEFT JOIN {ROUTES} USING (type_capteur, alert_level)"""
+    sql["stream_latency"] = sql["alert_latency"]
+    sql["stream_alert_topic"] = f"""{READINGS}
+SELECT window_start AS debut_fenetre, window_end AS fin_fenetre, zone, alert_level, alert_message, type_capteur, valeur_detectee FROM (
+  {" UNION ALL ".join(f"SELECT {COMMON} FROM ({alerts(s)}) {closed(s)}" for s in SENSORS)})"""
     # Stored alerts come from all windows, also those that begin before the newest two hours of readings.
     sql["dash_active_alerts_stored"] = f"""{ALERTS}, clock AS (SELECT max(et) AS now FROM ev),
 active AS (SELECT window_start, zone, alert_level, type_capteur, valeur_detectee FROM alerts, clock

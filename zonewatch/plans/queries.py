@@ -9,19 +9,21 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewatch.functions import bands, routing, times
 from zonewatch.operators import alerts as ops
-from zonewatch.operators import bridge, clean, daily, dashboard, history, parse, points, windows
+from zonewatch.operators import bridge, clean, daily, dashboard, history, parse, points, rollups, windows
 from zonewatch.plans import etl, report, testbed
-from zonewatch.sensors import SENSORS, chosen, wide_schema
+from zonewatch.sensors import SENSORS, alert_topic, chosen, topic_of, wide_schema
 from zonewatch.session import prepare, run_dir, stored
 from zonewatch.settings import TOPIC_PREFIX
-from zonewatch.sources import streams
+from zonewatch.sources import streams, tables
 from zonewatch.streaming import jobs, sinks
+from zonewatch.streaming.supervision import Supervisor
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL = tuple(SENSORS)
@@ -381,17 +383,47 @@ def stored_panel(build, *means: str) -> Query:
     return query
 
 
+def newest(spark: SparkSession, sf_dir: str) -> datetime:
+    """The newest time on the dense clock."""
+    return testbed.events(spark, sf_dir).agg(F.max("ts")).select(testbed.dense(F.col("max(ts)"))).first()[0]
+
+
 def stored_alerts(spark, sf_dir) -> tuple[DataFrame, Column]:
-    """(alert points as the pipeline stores them, older days compacted; the newest time)."""
-    out = run_dir(spark, "points")
-    found = points.alert_points(alerts_of(spark, sf_dir))
-    now = testbed.events(spark, sf_dir).agg(F.max("ts")).select(testbed.dense(F.col("max(ts)"))).first()[0]
+    """(alert points of micro-batches, one of them repeated, compacted and cleared of old files; the newest time)."""
+    found, now = points.alert_points(alerts_of(spark, sf_dir)), newest(spark, sf_dir)
+    store = jobs.alert_store(spark, run_dir(spark, "points"))
+    sink = sinks.point_batches(store, "alerts", lambda rows: rows)
     for batch_id, late in ((0, False), (1, True), (1, True)):
-        part = found.filter((F.col("time") >= F.lit(now) - F.expr("INTERVAL 3 hours")) == F.lit(late))
-        sinks.write_batch(part, f"{out}/live", "alerts", batch_id)
-    horizon = now.date()
-    sinks.compact_points(spark, f"{out}/live", f"{out}/old", horizon)
-    return sinks.all_points(spark, f"{out}/live", f"{out}/old", horizon), F.lit(now).cast("timestamp")
+        sink(found.filter((F.col("time") >= F.lit(now) - F.expr("INTERVAL 3 hours")) == F.lit(late)), batch_id)
+    store.compact()
+    store.vacuum(timedelta(0))
+    return store.read(), F.lit(now).cast("timestamp")
+
+
+def rolled(spark: SparkSession, sf_dir: str):
+    """(points, minute rollups, newest time) as the stream keeps them: three micro-batches, of which the later ones
+    bring points of all the minutes that the first one has written; the rollups are compacted."""
+    out, rows = run_dir(spark, "rollups"), testbed.readings(prepare(spark), sf_dir)
+    for turn, digits in enumerate(((0, 1, 2, 3, 4, 5), (6, 7, 8), (9,))):
+        rows.filter((F.col("event_id") % 10).isin(*digits)).coalesce(1).write.parquet(f"{out}/in/turn={turn}")
+    own = backfill(spark)
+    stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{out}/in/*")
+    store, rollup = jobs.point_stores(own, f"{out}/lake")
+    jobs.drain(jobs.rolled_points(stream, chosen(ALL), store, rollup, f"{out}/state", ONCE))
+    rollup.compact()
+    return store, rollup, newest(spark, sf_dir)
+
+
+def rollup_panel(build, back: str, *means: str) -> Query:
+    """A panel from minute rollups."""
+
+    def query(spark, sf_dir):
+        store, rollup, now = rolled(spark, sf_dir)
+        days = ((now - timedelta(hours=2)).date(), now.date())
+        at = F.lit(now).cast("timestamp")
+        return outward(build(rollups.near(rollup.read(*days), store.read(*days), at, back), at), *means)
+
+    return query
 
 
 def dash_active_alerts_stored(spark, sf_dir):
@@ -623,6 +655,81 @@ def stream_incidents(spark, sf_dir):
     return outward(spark.read.parquet(f"{out}/rows"))
 
 
+def stream_incidents_resolved(spark, sf_dir):
+    """Incidents that open and end; after the last alert the topic is silent, and timers end what is open."""
+    out = run_dir(spark, "stream")
+    query = jobs.incident_log(published_alerts(spark, sf_dir, out), f"{out}/events", f"{out}/state", silence="2 seconds")
+    jobs.settled(query)
+    return outward(prepare(spark).read.parquet(f"{out}/events"))
+
+
+def stream_supervised(spark, sf_dir):
+    """Alerts of a query whose sink fails twice; the supervisor starts it again from its checkpoint."""
+    out, failures = run_dir(spark, "stream"), [1, 2]
+    found = windows.alerts(stream_readings(spark, sf_dir, "traffic"), chosen(("traffic",))).drop("sensor")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if failures:
+            raise RuntimeError(f"failure {failures.pop(0)}")
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    def start():
+        writer = found.writeStream.queryName("alerts_traffic").foreachBatch(sink).option("checkpointLocation", f"{out}/state")
+        return writer.trigger(**ONCE).start()
+
+    Supervisor(found.sparkSession, {"alerts_traffic": start}, f"{out}/health", wait=0.1).run(every=0.2)
+    return outward(prepare(spark).read.parquet(f"{out}/rows").drop("batch"))
+
+
+#: From this hour on, red alerts take another route.
+NEW_ROUTE_HOUR = 6
+
+
+def stream_routed_alerts(spark, sf_dir):
+    """Alerts in two parts through a running route; between them the route table gets a new version."""
+    out = run_dir(prepare(spark), "stream")
+    records, early = records_of(spark, sf_dir), F.hour("debut_fenetre") < NEW_ROUTE_HOUR
+    routes = ops.route_table(spark)
+    red = F.col("alert_level") == "ROUGE"
+    changed = routes.withColumns({"canal": F.when(red, "Astreinte").otherwise(F.col("canal")), "delai_max_min": F.when(red, 1).otherwise(F.col("delai_max_min"))})
+    stream = None
+    for table, part in ((routes, records.filter(early)), (changed, records.filter(~early))):
+        ops.packed(part).write.mode("append").text(f"{out}/topic")
+        tables.add_version(table, f"{out}/routes")
+        stream = stream or ops.unpacked(backfill(spark).readStream.text(f"{out}/topic"))
+        jobs.drain(jobs.alert_routing(stream, f"{out}/routes", f"{out}/rows", f"{out}/state", ONCE))
+    kept = ("debut_fenetre", "zone", "type_capteur", "alert_level", "destinataire", "canal", "delai_max_min")
+    return outward(spark.read.parquet(f"{out}/rows").select(*kept))
+
+
+def stream_latency(spark, sf_dir):
+    """Latency from the time at which messages arrived, which they carry, over two micro-batches."""
+    out = run_dir(prepare(spark), "stream")
+    topics = streams.Folder(f"{out}/topics", files_per_batch=1)
+    sent = ops.packed(records_of(spark, sf_dir).withColumn("timestamp", arrival()), "timestamp", "debut_fenetre")
+    for part in (0, 1):
+        topics.publish(sent.filter(F.minute("debut_fenetre") % 2 == part).coalesce(1), alert_topic())
+    records = streams.alert_messages(backfill(spark), topics, keep=("timestamp",))
+    jobs.drain(jobs.latency_log(records, "timestamp", f"{out}/partials", f"{out}/state", ONCE))
+    return outward(ops.latency_report(spark.read.parquet(f"{out}/partials")), "latence_moy")
+
+
+def stream_alert_topic(spark, sf_dir):
+    """Readings from their topics, alerts of each sensor to the alert topic, records read from there."""
+    out = run_dir(prepare(spark), "stream")
+    topics = streams.Folder(f"{out}/topics")
+    for name in ALL:
+        topics.publish(testbed.messages(testbed.readings(spark, sf_dir, name), SENSORS[name]), topic_of(name))
+    own = backfill(spark)
+    readings = {s.name: streams.sensor_topic(own, topics, s) for s in chosen(ALL)}
+    started = jobs.alert_pipeline(readings, chosen(ALL), jobs.alert_store(own, f"{out}/points"), f"{out}/state", message_options=topics, trigger=ONCE)
+    for query in started:
+        jobs.drain(query)
+    writer = streams.alert_messages(own, topics).writeStream.format("parquet").trigger(**ONCE)
+    jobs.drain(writer.option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state/records").start())
+    return outward(spark.read.parquet(f"{out}/rows"))
+
+
 def stream_bridge(spark, sf_dir):
     """Device events through the bridge into topic folders; messages per topic."""
     out = run_dir(spark, "stream")
@@ -712,6 +819,7 @@ def registry() -> dict[str, Query]:
         dash_active_alerts_stored, load_rejects, load_run_log,
         stream_pipeline_points, stream_lagging_sensor, stream_rejects, stream_alert_log, stream_points,
         stream_alert_counts, stream_incidents, stream_bridge, stream_landing,
+        stream_incidents_resolved, stream_supervised, stream_routed_alerts, stream_latency, stream_alert_topic,
     )
     for query in plain:
         found[query.__name__] = query
@@ -731,6 +839,8 @@ def registry() -> dict[str, Query]:
         "dash_fill_latest": dashboard.fill_panel,
         "dash_lighting_latest": dashboard.lighting_panel,
     }
+    ranges = {"dash_aqi_latest": "15 minutes", "dash_fill_latest": "1 hour"}
     for name, build in stored_panels.items():
         found[f"{name}_stored"] = stored_panel(build, "value")
+        found[f"{name}_rollup"] = rollup_panel(build, ranges.get(name, "30 minutes"), "value")
     return found

@@ -11,14 +11,14 @@ from zonewatch.operators import parse
 from zonewatch.sensors import SENSORS, Sensor
 
 DAY_SCHEMA = "date_partition date"
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _or_none(load) -> DataFrame | None:
     try:
         return load()
     except AnalysisException as err:
-        if err.getCondition() in _ABSENT:
+        if err.getCondition() in ABSENT:
             return None
         raise
 
@@ -66,6 +66,22 @@ def table_or_none(spark: SparkSession, path: str, schema: StructType | None = No
     return None if found is None or found.isEmpty() else found
 
 
+def add_version(table: DataFrame, path: str) -> None:
+    """A new version of a small table, as one file: it is there as a whole or not at all."""
+    spark = table.sparkSession
+    known = table_or_none(spark, path)
+    number = 0 if known is None else known.agg(F.max("version")).first()[0] + 1
+    table.coalesce(1).write.parquet(f"{path}/version={number}")
+
+
+def newest_version(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The newest version of a table of versions; empty if there is none."""
+    found = _or_none(lambda: spark.read.schema(f"{schema}, version int").parquet(path))
+    if found is None:
+        return spark.createDataFrame([], schema)
+    return found.filter(F.col("version") == found.agg(F.max("version")).scalar()).drop("version")
+
+
 def processed(spark: SparkSession, lake: str, name: str) -> DataFrame | None:
     return table(spark, f"{lake}/processed/{name}", processed_schema(SENSORS[name]))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -9,10 +11,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from zonewatch import settings
 from zonewatch.operators import alerts as ops
 from zonewatch.functions import routing
-from zonewatch.operators import bridge, parse, points, windows
-from zonewatch.sensors import Sensor
+from zonewatch.operators import bridge, parse, points, rollups, windows
+from zonewatch.sensors import Sensor, alert_topic
 from zonewatch.session import prepare
+from zonewatch.sources import tables
+from zonewatch.sources.streams import Folder
 from zonewatch.streaming import sinks
+from zonewatch.streaming.incidents import incident_events
+from zonewatch.streaming.store import PointStore
 
 
 #: A folder per micro-batch is replaced as a whole, whatever the session's own mode is.
@@ -43,10 +49,10 @@ def _start(writer: DataStreamWriter, name: str, trigger: dict | None) -> Streami
 def alert_pipeline(
     readings: DataFrame | dict[str, DataFrame],
     sensors: tuple[Sensor, ...],
-    point_path: str,
+    point_path: str | PointStore,
     checkpoint: str,
     message_fmt: str = "kafka",
-    message_options: dict[str, str] | None = None,
+    message_options: dict[str, str] | Folder | None = None,
     show: bool = False,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
@@ -61,7 +67,9 @@ def alert_pipeline(
         own = readings[sensor.name] if isinstance(readings, dict) else readings
         alert_rows, trend_rows = windows.alert_pipeline(own, (sensor,))
         outputs = [sinks.point_batches(point_path, f"alerts_{sensor.name}")]
-        if message_options is not None:
+        if isinstance(message_options, Folder):
+            outputs.insert(0, sinks.topic_batches(message_options, alert_topic()))
+        elif message_options is not None:
             outputs.insert(0, sinks.message_batches(message_fmt, _own_folder(message_options, sensor)))
         if show:
             outputs.append(sinks.show_batches())
@@ -173,6 +181,69 @@ def incidents(records: DataFrame, gap: str = settings.INCIDENT_GAP, delay: str =
     )
 
 
+def incident_log(
+    records: DataFrame, path: str, checkpoint: str, gap: str = settings.INCIDENT_GAP, silence: str = settings.INCIDENT_GAP, trigger: dict | None = None
+) -> StreamingQuery:
+    """Incidents that open and end, also when the alerts fall silent. Micro-batches go on without input, or no
+    timer would fire; so ``availableNow``, which waits for the last of them, is no trigger for this query."""
+    events = incident_events(records, gap, silence)
+    writer = events.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    return _start(writer, "incidents", trigger or {"processingTime": "1 second"})
+
+
+def rolled_points(
+    readings: DataFrame, sensors: tuple[Sensor, ...], store: PointStore, rollup: PointStore, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Readings to points, and beside them to minute rollups; both from one pass over a micro-batch."""
+    targets = (store.batches("points"), rollup.batches("minutes", rollups.partials))
+    rows = points.reading_points(readings, sensors)
+    writer = rows.writeStream.foreachBatch(sinks.fan_out(*targets)).option("checkpointLocation", checkpoint)
+    return _start(writer, "rolled_points", trigger)
+
+
+def point_stores(spark: SparkSession, root: str) -> tuple[PointStore, PointStore]:
+    """(reading points, their minute rollups) below one folder."""
+    kinds = "measurement string, zone string, device_id string, field string, value double, time timestamp"
+    return PointStore(spark, f"{root}/points", kinds), PointStore(spark, f"{root}/minutes", rollups.SCHEMA, "minute", rollups.merged)
+
+
+def alert_store(spark: SparkSession, root: str) -> PointStore:
+    """A store for alert and trend points."""
+    return PointStore(spark, root, "time timestamp, zone string, niveau string, type string, valeur double, source string")
+
+
+def alert_routing(records: DataFrame, route_path: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Alerts with the routes that hold when their micro-batch is taken: the newest version of a table of versions."""
+
+    def rows(batch: DataFrame) -> DataFrame:
+        return ops.routed(batch, tables.newest_version(batch.sparkSession, route_path, ops.ROUTE_SCHEMA))
+
+    writer = records.writeStream.foreachBatch(sinks.fan_out(sinks.replaced_batches(path, rows)))
+    return _start(writer.option("checkpointLocation", checkpoint), "alert_routing", trigger)
+
+
+def latency_log(records: DataFrame, arrival: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Latencies of alerts by the time ``arrival`` that their messages carry, as partials per micro-batch."""
+    writer = records.writeStream.foreachBatch(sinks.replaced_batches(path, lambda batch: ops.latency_partials(batch, F.col(arrival))))
+    return _start(writer.option("checkpointLocation", checkpoint), "latency_log", trigger)
+
+
+def settled(query: StreamingQuery, seconds: float = 300, state: bool = False) -> None:
+    """Waits until a query has taken its input and, unless it may keep ``state``, holds none any more; then stops it."""
+    until, taken = time.monotonic() + seconds, False
+    while time.monotonic() < until:
+        if not query.isActive:
+            return drain(query)
+        for p in query.recentProgress:
+            taken = taken or p["numInputRows"] > 0
+        last = query.lastProgress
+        if taken and last["numInputRows"] == 0 and (state or not sum(s["numRowsTotal"] for s in last["stateOperators"])):
+            return query.stop()
+        time.sleep(0.3)
+    query.stop()
+    raise TimeoutError("the query did not settle")
+
+
 def supervise(spark: SparkSession) -> None:
     """Wait until any query ends; its error, if it has one, is raised here."""
     spark.streams.awaitAnyTermination()

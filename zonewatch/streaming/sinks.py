@@ -7,7 +7,7 @@ failure leaves one copy.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from zonewatch.operators import alerts as ops
 from zonewatch.operators import points
 from zonewatch.sources import tables
+from zonewatch.sources.streams import Folder
+from zonewatch.streaming.store import PointStore
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -70,30 +72,25 @@ def fixed_arrival(spark: SparkSession, path: str, batch_id: int) -> datetime:
     return known.first()[0]
 
 
-def compact_points(spark: SparkSession, path: str, compacted: str, before: date) -> None:
-    """Copy the days before ``before`` from a point table of micro-batches into one without them: a few
-    files a day instead of a folder per batch. Days are replaced as a whole, so a repeat changes nothing."""
-    old = spark.read.parquet(path).filter(F.col("date") < F.lit(before)).drop("batch")
-    (
-        old.hint("rebalance", F.col("date"))
-        .sortWithinPartitions("date", "time")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(compacted)
-    )
+def point_batches(where: str | PointStore, query: str, to_points=points.alert_points) -> BatchSink:
+    """Micro-batches of alerts or trends into a point table, or into a store that compacts them."""
+    if isinstance(where, PointStore):
+        return where.batches(query, to_points)
+    return lambda batch, batch_id: write_batch(to_points(batch), where, query, batch_id)
 
 
-def all_points(spark: SparkSession, path: str, compacted: str, before: date) -> DataFrame:
-    """A compacted table and the newer days of its source, as one."""
-    newer = spark.read.parquet(path).filter(F.col("date") >= F.lit(before)).drop("batch")
-    older = spark.read.parquet(compacted).filter(F.col("date") < F.lit(before))
-    return older.unionByName(newer)
+def topic_batches(folder: Folder, topic: str) -> BatchSink:
+    """Micro-batches of alerts as messages of a topic in files (delivered at least once)."""
+    return lambda batch, batch_id: folder.publish(ops.as_messages(ops.records(batch), topic), topic)
 
 
-def point_batches(path: str, query: str, to_points=points.alert_points) -> BatchSink:
-    """Micro-batches of alerts or trends into a point table."""
-    return lambda batch, batch_id: write_batch(to_points(batch), path, query, batch_id)
+def replaced_batches(path: str, to_rows: Callable[[DataFrame], DataFrame]) -> BatchSink:
+    """Micro-batches into a folder each, which a repeated batch replaces."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        to_rows(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
+
+    return sink
 
 
 def message_batches(fmt: str, options: dict[str, str]) -> BatchSink:
