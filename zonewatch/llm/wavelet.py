@@ -19,6 +19,7 @@ repeated rows give a row each; an empty table gives no files and no rows; other
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -176,6 +177,7 @@ class Encoder:
     """Ids of the rows of a block. Distinct words are encoded once; words of earlier blocks are kept."""
 
     def __init__(self, path: str, whole: bool, cache_words: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core; threads of the library only cost
         from tokenizers import Tokenizer
 
         self.tokenizer, self.whole, self.cache_words = Tokenizer.from_file(path), whole, cache_words
@@ -190,7 +192,7 @@ class Encoder:
         """All ids of the words, and how many each has."""
         ids, sizes = [], np.zeros(len(words), np.int64)
         for at in range(0, len(words), 2000):
-            found = self.tokenizer.encode(words[at : at + 2000], is_pretokenized=True, add_special_tokens=False)
+            (found,) = self.tokenizer.encode_batch_fast([words[at : at + 2000]], is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(found.ids, np.uint32))
             of = np.array([w for w in found.word_ids if w is not None], np.int64)
             if len(of) != len(ids[-1]):  # the library gives no word for some token
