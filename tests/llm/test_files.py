@@ -1,6 +1,7 @@
 """Wavelet shards, archives, vectors and piece sampling against plain Python on small tables."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import math
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pytest
 
 from zonewatch.llm import arrays, pca_tiles, piece_sampling, warc, wavelet
+from zonewatch.llm.shared import opened
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORDS = "word_bpe_49k.json"
@@ -247,3 +249,14 @@ def test_draws_do_not_depend_on_blocks(pieces):
 
 def test_no_texts(spark):
     assert piece_sampling.sample(spark.createDataFrame([], "doc_id long, text string"), place(PIECES)).count() == 0
+
+
+def test_archives_are_gzip_members_that_other_readers_open(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 99), (2, "v", None), (3, "w", "x" * 99)], "page_id long, url string, html string")
+    for row in warc.write(pages).collect():
+        store, inside = opened(row.path)
+        with store.open_input_stream(inside, compression=None) as stream:
+            raw = stream.read()
+        text = gzip.decompress(raw)
+        assert text.startswith(b"WARC/1.") and text.count(b"WARC-Record-ID: ") == row.records
+        assert len(raw) == row.bytes

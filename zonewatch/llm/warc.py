@@ -131,7 +131,7 @@ def write(pages: DataFrame, page_id: str = "page_id", html: str = "html", url: s
 
         def closed():
             name = f"{stem}-{number:05d}.warc.gz"
-            with store.open_output_stream(f"{inside}/{name}") as out:
+            with store.open_output_stream(f"{inside}/{name}", compression=None) as out:  # else packed again for its name
                 out.write(b"".join(held))
             return arrays.batch(path=[f"{folder}/{name}"], records=[records], bytes=[size])
 
@@ -195,7 +195,7 @@ def segments(files: DataFrame) -> DataFrame:
             for path in batch["path"].to_pylist():
                 store, inside = opened(path)
                 rows, size = [], 0
-                with store.open_input_stream(inside) as stream:
+                with store.open_input_stream(inside, compression=None) as stream:
                     for fields, block in records_of(stream):
                         name = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"])
                         total = fields.get("WARC-Segment-Total-Length", None if "WARC-Segment-Number" in fields else len(block))
