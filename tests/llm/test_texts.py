@@ -441,15 +441,20 @@ def test_tagger_reads_whole_texts():
     tagger.p["trans"] = draw.normal(size=(pii.TAGS,) * 2)
     tagger.p["bias"][0] = 2.0
     texts = [pii.codes(prose(rng, LANGS["en"], n)) for n in (1, 3, 6, 12, 200)] + [pii.codes("x")]
-    middle = np.minimum(np.arange(pii.WIDTH) + 1, pii.WIDTH - np.arange(pii.WIDTH))
+    edge = np.arange(pii.WIDTH)
+    edge = np.minimum(np.minimum(edge + 1, pii.WIDTH - edge), pii.OVERLAP + 1)
     some = 0
     for whole, found in zip(texts, tagger.tagged(texts), strict=True):
         score, weight = np.zeros((len(whole), pii.TAGS)), np.zeros(len(whole))
-        for w in range(0, max(1, len(whole) - pii.WIDTH // 2), pii.WIDTH // 2):
+        for w in range(0, max(1, len(whole) - pii.OVERLAP), pii.STEP):
             part = whole[w : w + pii.WIDTH].astype(np.int64)
-            own, _ = tagger.emissions(np.pad(part, (0, pii.WIDTH - len(part)), constant_values=pii.CODES - 1)[None])
-            score[w : w + len(part)] += own[0, : len(part)] * middle[: len(part), None]
-            weight[w : w + len(part)] += middle[: len(part)]
+            to = -(-len(part) // pii.OVERLAP) * pii.OVERLAP
+            own, _ = tagger.emissions(np.pad(part, (0, to - len(part)), constant_values=pii.CODES - 1)[None])
+            near = edge.copy()
+            near[: pii.OVERLAP] = np.where(w > 0, near[: pii.OVERLAP], pii.OVERLAP + 1)
+            near[pii.STEP :] = np.where(w + pii.WIDTH < len(whole), near[pii.STEP :], pii.OVERLAP + 1)
+            score[w : w + len(part)] += own[0, : len(part)] * near[: len(part), None]
+            weight[w : w + len(part)] += near[: len(part)]
         path = tagger.viterbi(score / weight[:, None], np.array([0, len(whole)]))
         assert found == pii.spans_of(path, 0)
         some += 0 < (path > 0).sum() < len(path)
