@@ -474,3 +474,13 @@ def test_secrets_without_a_digit(spark):
     found = sum(f"secret:{t.index(secrets[i])}:{t.index(secrets[i]) + len(secrets[i])}" in spans[i].split(",") for i, t in rows[250:])
     assert found >= 0.8 * 150
     assert sum(secrets[r.doc_id] not in r.text for r in pii.redact(held, tagger).collect()) >= 0.8 * 150
+
+
+def test_samples_are_bounded_under_repeated_rows(spark):
+    """Neither null ids nor copies of one row make the samples of the learners larger."""
+    same = [(7, "call 555 me@mail.example.org now")] * 3000
+    unnamed = [(None, f"nothing but prose of number {i}") for i in range(3000)]
+    found = pii.training_windows(table(spark, same + unnamed), "doc_id", "text", 50, 2).count()
+    assert 0 < found <= 100
+    rows = spark.createDataFrame([(*r, "en") for r in same + unnamed], "doc_id long, text string, lang string")
+    assert 0 < ppm.sample(rows, "doc_id", "text", "lang", 200).count() < 300

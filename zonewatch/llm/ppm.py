@@ -144,15 +144,16 @@ def _has_letter(column: pa.Array) -> np.ndarray:
     return pc.match_substring_regex(column.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
 
 
-def sample(docs: DataFrame, doc_id: str, lang: str, per_lang: int) -> DataFrame:
-    """About ``per_lang`` rows of each language: a row stays if the hash of its id is under its language's
-    share. No language's rows are gathered in one task."""
+def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_lang: int) -> DataFrame:
+    """About ``per_lang`` rows of each language: a row stays if the hash of its id and text is under its
+    language's share, and of repeated rows one stays. No language's rows are gathered in one task."""
     sizes = written(docs.groupBy(lang).agg(F.count("*").alias("rows_of_lang")), "langs")
     if sizes.count() <= LANGS:  # languages are few; should they not be, the texts are shuffled
         sizes = F.broadcast(sizes)
     share = F.lit(float(per_lang)) / F.col("rows_of_lang")
-    drawn = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    return docs.join(sizes, lang).where(drawn < share).drop("rows_of_lang")
+    hashed = docs.withColumn("hash_of_row", F.xxhash64(F.col(doc_id).cast("string"), F.col(text)))
+    drawn = F.pmod(F.col("hash_of_row"), F.lit(1 << 30)) / float(1 << 30)
+    return hashed.join(sizes, lang).where(drawn < share).dropDuplicates([lang, "hash_of_row"]).drop("rows_of_lang", "hash_of_row")
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, per_lang: int = SAMPLE, cells: int = CELLS, least: int = 2) -> Model:
@@ -177,7 +178,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                 ns.append(n)
         return arrays.batch(lang=arrays.strings(names), key=np.concatenate(keys or [np.zeros(0, np.int64)]), n=np.concatenate(ns or [np.zeros(0, np.int64)]))
 
-    counted = arrays.map_texts(sample(known, "doc_id", "lang", per_lang), count, "lang string, key long, n long")
+    counted = arrays.map_texts(sample(known, "doc_id", "text", "lang", per_lang), count, "lang string, key long, n long")
     total = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).where(F.expr("shiftright(key, 56) = 0") | (F.col("n") >= least))
     rows = total.toArrow()
     names = rows["lang"].to_numpy().astype(str)
