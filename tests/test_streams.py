@@ -2,6 +2,8 @@
 
 import json
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -231,6 +233,26 @@ def test_latency_adds_up_over_batches(spark):
     assert found["latence_q50"] == pytest.approx(exact[0], abs=30) and found["latence_q95"] == pytest.approx(exact[1], abs=30)
 
 
+def test_jobs_publish_to_one_topic_at_the_same_time(spark, tmp_path):
+    topics, begun = streams.Folder(str(tmp_path / "topics")), tmp_path / "begun"
+
+    def slow(part):
+        begun.touch()
+        time.sleep(5)
+        yield from part
+
+    late = spark.range(1).mapInPandas(slow, "id long").select(F.col("id").cast("string").alias("value"))
+    with ThreadPoolExecutor(1) as pool:
+        running = pool.submit(topics.publish, late, "t")
+        while not begun.exists() and not running.done():
+            time.sleep(0.05)
+        topics.publish(spark.range(1, 3).select(F.col("id").cast("string").alias("value")), "t")
+        running.result()
+    query = topics.read(jobs.stream_session(spark, 1), "t").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    jobs.drain(query.option("checkpointLocation", str(tmp_path / "state")).trigger(**ONCE).start())
+    assert sorted(bytes(r["value"]) for r in rows(spark.read.parquet(str(tmp_path / "out")))) == [b"0", b"1", b"2"]
+
+
 def test_topics_in_folders(spark, tmp_path):
     topics = streams.Folder(str(tmp_path))
     body = json.dumps({"timestamp": "2024-01-01T00:00:00Z", "device_id": "d", "zone": "z", "vehicles_per_min": 7})

@@ -5,6 +5,7 @@ The transport is a parameter: ``kafka`` in production, files where there is no b
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,18 @@ MESSAGE = "key binary, value binary, topic string, headers array<struct<key: str
 
 @dataclass(frozen=True)
 class Folder:
-    """Topics as folders of message files, in place of a broker."""
+    """Topics as folders of message files, in place of a broker. Every call of ``publish`` has a folder of its own in that of
+    its topic: two jobs that commit to one folder at a time remove each other's files."""
 
     path: str
     files_per_batch: int | None = None
 
     def read(self, spark: SparkSession, topics, **more: str) -> DataFrame:
         names = [topics] if isinstance(topics, str) else list(topics)
-        limits = {} if self.files_per_batch is None else {"maxFilesPerTrigger": str(self.files_per_batch)}
-        return messages(spark, "parquet", limits, f"{self.path}/{{{','.join(names)}}}", MESSAGE)
+        options = {"recursiveFileLookup": "true"}
+        if self.files_per_batch is not None:
+            options["maxFilesPerTrigger"] = str(self.files_per_batch)
+        return messages(spark, "parquet", options, f"{self.path}/{{{','.join(names)}}}", MESSAGE)
 
     def publish(self, rows: DataFrame, topic: str, arrival=None) -> None:
         """Rows with ``value`` and, where they have them, ``key``, ``headers`` and ``timestamp``, as messages of a topic."""
@@ -40,7 +44,7 @@ class Folder:
             kind = "binary" if name == "key" else "array<struct<key: string, value: binary>>"
             given[name] = F.col(name) if name in rows.columns else F.lit(None).cast(kind)
         found = rows.withColumns(given).withColumn("value", F.col("value").cast("binary"))
-        found.select("key", "value", "topic", "headers", "timestamp").write.mode("append").parquet(f"{self.path}/{topic}")
+        found.select("key", "value", "topic", "headers", "timestamp").write.parquet(f"{self.path}/{topic}/sent=p{uuid.uuid4().hex}")
 
 
 def kafka_options(servers: str, topics, starting: str = "latest", **more: str) -> dict[str, str]:
