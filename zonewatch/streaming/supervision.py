@@ -28,7 +28,7 @@ class ProgressListener(StreamingQueryListener):
     """Notes the progress of named queries."""
 
     def __init__(self, names):
-        self.names, self.noted = set(names), queue.SimpleQueue()
+        self.names, self.noted, self.ended = set(names), queue.SimpleQueue(), set()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -46,7 +46,7 @@ class ProgressListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.add(str(event.runId))
 
     def taken(self) -> list[tuple]:
         rows = []
@@ -77,7 +77,7 @@ class Supervisor:
     def __init__(self, spark: SparkSession, starters: dict[str, Callable[[], StreamingQuery]], health: str, wait: float = 1.0, longest: float = 60.0, most: int = 5):
         self.spark, self.health, self.wait, self.longest, self.most = spark, health, wait, longest, most
         self.watched = {name: Watched(start) for name, start in starters.items()}
-        self.listener, self.log = ProgressListener(starters), []
+        self.listener, self.log, self.runs = ProgressListener(starters), [], set()
 
     def run(self, every: float = 1.0, flush: float = 30.0) -> None:
         """Until all queries are over or given up; raises the error of a query that was given up."""
@@ -90,13 +90,20 @@ class Supervisor:
                     flushed = time.monotonic()
                 time.sleep(every)
         finally:
-            time.sleep(min(every, 1.0))  # the last progress comes a little after the end
+            self._heard()
             self.spark.streams.removeListener(self.listener)
             self.flush()
         lost = {name: w.error for name, w in self.watched.items() if w.over and w.error}
         if lost:
             raise RuntimeError(f"given up: {lost}")
 
+    def _heard(self, seconds: float = 10.0) -> None:
+        """Waits until the listener was told of the end of every run: a run's progress is told before its end, but both come
+        a little later than the end itself."""
+        until = time.monotonic() + seconds
+        while self.runs - self.listener.ended and time.monotonic() < until:
+            time.sleep(0.05)
+
     def step(self) -> bool:
         """Looks at every query once; whether any is left to watch."""
         for name, w in self.watched.items():
@@ -126,6 +133,8 @@ class Supervisor:
             self._ended(name, w, str(err))
 
     def _ended(self, name: str, w: Watched, error: str | None) -> None:
+        if w.query is not None:
+            self.runs.add(str(w.query.runId))
         w.query = None
         if error is None:
             w.over, w.error = True, ""
