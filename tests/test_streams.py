@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from zonewatch.operators import alerts as ops
 from zonewatch.operators import dashboard, points, rollups
-from zonewatch.plans import etl
+from zonewatch.plans import etl, queries
 from zonewatch.sensors import SENSORS, alert_topic
 from zonewatch.sources import streams, tables
 from zonewatch.streaming import incidents, jobs, sinks
@@ -199,6 +199,20 @@ def test_panels_from_rollups_are_those_from_points(spark, back, seconds):
     assert sorted(map(tuple, dashboard.latest(near).collect())) == sorted(map(tuple, dashboard.latest(plain).collect()))
 
 
+def test_turns_of_rollups_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    data = [(i, T0 + timedelta(seconds=60 * i), i, "click", 1.0, json.dumps({"k": i % 120})) for i in range(400)]
+    events = spark.createDataFrame(data, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).repartition(6).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    monkeypatch.setattr(queries, "run_dir", lambda session, name: str(tmp_path / "run"))
+    store, rollup, now = queries.rolled(spark, str(tmp_path / "sf"))
+    for turn in range(3):
+        assert len(list((tmp_path / "run" / "in" / f"turn={turn}").glob("*.parquet"))) > 1
+    assert [(r.query, r.number) for r in store.records()] == [("points", n) for n in range(3)]
+    counts = [spark.read.parquet(str(tmp_path / "run" / "lake" / "points" / "data" / f"folder={r.folder}")).select("time", "zone").distinct().count() for r in store.records()]
+    assert counts == [240, 120, 40]
+    assert rollup.read().agg(F.sum("n")).first()[0] == store.read().count() and now == at(399 / 60)
+
+
 # -- routes, latency, topics ------------------------------------------------------------------
 
 

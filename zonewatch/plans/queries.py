@@ -404,12 +404,13 @@ def rolled(spark: SparkSession, sf_dir: str):
     """(points, minute rollups, newest time) as the stream keeps them: three micro-batches, of which the later ones
     bring points of all the minutes that the first one has written; the rollups are compacted."""
     out, rows = run_dir(spark, "rollups"), testbed.readings(prepare(spark), sf_dir)
-    for turn, digits in enumerate(((0, 1, 2, 3, 4, 5), (6, 7, 8), (9,))):
-        rows.filter((F.col("event_id") % 10).isin(*digits)).coalesce(1).write.parquet(f"{out}/in/turn={turn}")
     own = backfill(spark)
-    stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{out}/in/*")
-    store, rollup = jobs.point_stores(own, f"{out}/lake")
-    jobs.drain(jobs.rolled_points(stream, chosen(ALL), store, rollup, f"{out}/state", ONCE))
+    stream, (store, rollup) = None, jobs.point_stores(own, f"{out}/lake")
+    for turn, digits in enumerate(((0, 1, 2, 3, 4, 5), (6, 7, 8), (9,))):
+        rows.filter((F.col("event_id") % 10).isin(*digits)).write.parquet(f"{out}/in/turn={turn}")
+        stream = stream or own.readStream.schema(rows.schema).parquet(f"{out}/in/*")
+        # A run takes all files that came since the last one as one micro-batch, so a turn may be written by many tasks.
+        jobs.drain(jobs.rolled_points(stream, chosen(ALL), store, rollup, f"{out}/state", ONCE))
     rollup.compact()
     return store, rollup, newest(spark, sf_dir)
 
