@@ -178,8 +178,11 @@ class Aligned:
 
     def __init__(self, a: Tokens, b: Tokens, parts: int):
         size = int(a.end[-1]) if len(a) else 0
-        shared = np.intersect1d(a.end, b.end, assume_unique=True)  # the groups' ends
-        groups = [np.searchsorted(shared, x.end) for x in (a, b)]
+        ends = np.zeros((2, size + 1), bool)
+        ends[0, a.end], ends[1, b.end] = True, True
+        both = ends[0] & ends[1]
+        shared, upto = np.flatnonzero(both), np.cumsum(both)  # the groups' ends
+        groups = [upto[x.end] - both[x.end] for x in (a, b)]
         (row, byte), (own, under) = a.by_bytes(), b.by_bytes()
         overlap = Rows.ones(row, byte, len(a), size).times(Rows.ones(under, own, size, len(b)))
         link = Rows.ones(np.arange(len(a)), groups[0], len(a), len(shared)).times(Rows.ones(groups[1], np.arange(len(b)), len(shared), len(b)))
