@@ -190,6 +190,7 @@ class Lattice:
         logs = self.longest > SHORT  # then all of this block's sums are kept as logarithms
         gain = pieces.weight[self.id] if logs else pieces.gain[self.id]
         total = np.full(self.total, -np.inf if logs else 0.0)
+        share = np.zeros(0 if logs else len(self.to))
         total[: self.reach[0] if len(size) else 0] = 0.0 if logs else 1.0
         with np.errstate(divide="ignore", invalid="ignore"):
             for d in range(1, self.longest + 1):
@@ -210,12 +211,18 @@ class Lattice:
                 else:
                     value *= gain[edges]
                     total[nodes.start + some] = np.add.reduceat(value, head)
+                    share[edges] = value
             #: Probability of an edge, given the node where it ends; sums of these in a node.
-            self.share = np.nan_to_num(np.exp(total[self.source] + gain - total[self.to]) if logs else total[self.source] * gain / total[self.to])
+            if logs:
+                share = np.exp(total[self.source] + gain - total[self.to])
+            else:
+                share /= total[self.to]
+            self.share = np.nan_to_num(share, copy=False)
         sums = np.cumsum(self.share)
-        # as integers, to be compared with 63 random bits
-        self.upto = np.minimum((sums - (sums - self.share)[self.ptr[self.to]]) * 2.0**63, 2.0**63 - 1024).astype(np.int64)
-        self.upto[self.ptr[1:][np.diff(self.ptr) > 0] - 1] = np.iinfo(np.int64).max  # a node's last edge takes what is left
+        # as integers with a last bit that is set: they are below a random number if its first 63 bits are more than theirs
+        upto = np.minimum((sums - (sums - self.share)[self.ptr[self.to]]) * 2.0**63, 2.0**63 - 1024).astype(np.int64)
+        upto[self.ptr[1:][np.diff(self.ptr) > 0] - 1] = np.iinfo(np.int64).max  # a node's last edge takes what is left
+        self.upto = (upto.view(np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def logp(self, edges: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
@@ -246,7 +253,7 @@ def descend(lattice: Lattice, start: np.ndarray, seed: np.ndarray) -> tuple[np.n
         walk = begin + np.flatnonzero(start[part] >= goal)
         at, bits, step = start[walk], seed[walk], 0
         while len(walk):
-            u = (arrays.mixed(bits + np.uint64(step * arrays.BYTE_BASE % 2**64)) >> np.uint64(1)).view(np.int64)
+            u = arrays.mixed(bits + np.uint64(step * arrays.BYTE_BASE % 2**64))
             edge = lattice.ptr[at]
             later = np.flatnonzero(lattice.upto[edge] < u)
             while len(later):
