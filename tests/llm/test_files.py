@@ -85,6 +85,21 @@ def test_token_files(spark, shard_tokens, cache, whole):
     assert shard[2].count(2) >= rows[0].documents
 
 
+def test_each_word_is_encoded_once():
+    own = wavelet.Encoder(place(WORDS)(), False, 1 << 20)
+    plain, asked = own.tokenizer, []
+
+    class Watched:
+        def __getattr__(self, name):
+            return lambda words, **how: asked.append(words) or getattr(plain, name)(words, **how)
+
+    own.tokenizer, words = Watched(), [f"word{i}, o'clock" for i in range(2100)]
+    ids, sizes = own.words(words)
+    want = [plain.encode(w, add_special_tokens=False).ids for w in words]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert asked == words
+
+
 def test_no_tokens(spark):
     assert wavelet.read(wavelet.write(spark.createDataFrame([], "doc_id long, text string"), place(WORDS))).count() == 0
 
