@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -428,6 +429,24 @@ def test_tagger_on_held_out_texts(spark):
     assert texts_now[903].endswith("[EMAIL]") and texts_now[900] is None and "@" not in "".join(filter(None, texts_now.values()))
 
 
+def test_tagging_keeps_no_more_than_the_scores_of_its_windows():
+    tagger = pii.Tagger()
+    tagger.p["bias"][0] = 100.0  # nothing but outside
+    text = np.random.default_rng(0).integers(32, 127, 1 << 20).astype(np.uint8)
+    tracemalloc.start()
+    try:
+        assert tagger.tagged([text]) == [[]]
+        assert tracemalloc.get_traced_memory()[1] < 50 << 20  # 42 MB; 58 MB with the states of all steps
+    finally:
+        tracemalloc.stop()
+
+
+def test_powers_end_with_the_task():
+    arrays.powers(arrays.BYTE_BASE).upto(1 << 20)
+    arrays.released()
+    assert arrays.powers(arrays.BYTE_BASE).size == 0
+
+
 def test_tagger_without_documents(spark):
     tagger = pii.learn(table(spark, [(1, "nothing here")]))
     assert not tagger.trained and pii.find(table(spark, []), tagger).count() == 0
