@@ -196,6 +196,18 @@ def pieces():
     return piece_sampling.loaded(place(PIECES)(), 1.0)
 
 
+def test_the_trie_has_rows_for_inner_nodes_only(pieces):
+    assert len(pieces.next) == (pieces.inner + 1) * 256 < len(pieces.piece) * 256
+    ends = np.flatnonzero(pieces.piece >= 0)
+    assert (pieces.piece[pieces.inner + 1 :] >= 0).all() and len(ends) == len(set(pieces.piece[ends].tolist()))
+    for k in ends[:: max(1, len(ends) // 50)].tolist():
+        node = 1
+        for b in pieces.texts[pieces.piece[k]]:
+            assert node <= pieces.inner
+            node = int(pieces.next[node * 256 + b])
+        assert node == k
+
+
 def segmentations(pieces, data):
     known = {t: i for i, t in enumerate(pieces.texts) if t and not (i in pieces.byte_id)}
 

@@ -68,20 +68,17 @@ class Pieces:
         self.byte_id = np.array([byte_ids[b] for b in range(256)])
         #: Weights with a factor per byte that keeps the sums of a unit near 1.
         self.gain = np.exp(self.weight + PER_BYTE * np.array([len(t) for t in self.texts]))
-        # a trie: the node after another node and a byte (0: none; the root is node 1), and the piece of a node
-        nodes, steps, piece = {b"": 1}, [], {}
-        for i in usable:
-            text = self.texts[i]
-            for n in range(1, len(text) + 1):
-                if text[:n] not in nodes:
-                    nodes[text[:n]] = len(nodes) + 1
-                    steps.append((nodes[text[: n - 1]] * 256 + text[n - 1], nodes[text[:n]]))
-            piece[nodes[text]] = i
-        self.next = np.zeros((len(nodes) + 1) * 256, np.int32)
-        at, to = np.array(steps).T
-        self.next[at] = to
+        # a trie: the node after another node and a byte (0: none; the root is node 1), and the piece of a node; nodes that
+        # nothing follows come last and have no row in the table, which stays with the worker
+        piece = {self.texts[i]: i for i in usable}
+        inner = {b""} | {text[:n] for text in piece for n in range(1, len(text))}
+        names = [*sorted(inner), *sorted(piece.keys() - inner)]
+        nodes = {text: k for k, text in enumerate(names, 1)}
+        self.inner = len(inner)
+        self.next = np.zeros((self.inner + 1) * 256, np.int32)
+        self.next[[nodes[text[:-1]] * 256 + text[-1] for text in names if text]] = [k for text, k in nodes.items() if text]
         self.piece = np.full(len(nodes) + 1, -1, np.int32)
-        self.piece[list(piece)] = list(piece.values())
+        self.piece[[nodes[text] for text in piece]] = list(piece.values())
         self.flat = np.frombuffer(b"".join(self.texts), np.uint8)
         self.length = np.array([len(t) for t in self.texts])
         self.start = np.cumsum(self.length) - self.length
@@ -138,7 +135,7 @@ class Lattice:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.first = place.astype(np.int32)
-        position = np.repeat(np.arange(self.longest + 1, dtype=np.int32), self.reach)
+        self.position = position = np.repeat(np.arange(self.longest + 1, dtype=np.int32), self.reach)
         unit = np.arange(self.total, dtype=np.int32) - self.base[position]
         inside = position < size[unit]
         text = np.full(self.total, 0x80, np.uint8)  # the end of a unit begins no character
@@ -155,19 +152,19 @@ class Lattice:
         at, row = position[alive], unit[alive]
         room, now, state, n, parts = size[row], alive, np.ones(len(alive), np.int32), 0, []
         while len(alive):
-            state = pieces.next[state * 256 + text[now]]
+            state = pieces.next.take(state * 256 + text.take(now))
             n += 1
             hit = np.flatnonzero(state)
-            alive, state, at, row, room = alive[hit], state[hit], at[hit] + np.int32(1), row[hit], room[hit]
-            now = self.base[at] + row
-            found = pieces.piece[state]
+            alive, state, at, row, room = alive.take(hit), state.take(hit), at.take(hit) + np.int32(1), row.take(hit), room.take(hit)
+            now = self.base.take(at) + row
+            found = pieces.piece.take(state)
             full = np.flatnonzero(found >= 0)
-            parts.append((alive[full], now[full], found[full]))
+            parts.append((alive.take(full), now.take(full), found.take(full)))
             if n <= 4:
                 whole = alive[full]
                 lone[whole[width[whole] == n]] = False
-            more = np.flatnonzero(at < room)
-            alive, state, at, row, room, now = alive[more], state[more], at[more], row[more], room[more], now[more]
+            more = np.flatnonzero((at < room) & (state <= pieces.inner))
+            alive, state, at, row, room, now = (x.take(more) for x in (alive, state, at, row, room, now))
         # characters that are no piece: a path of byte pieces
         spelt = np.flatnonzero(lone).astype(np.int32)
         for k in range(4):
@@ -254,16 +251,16 @@ def descend(lattice: Lattice, start: np.ndarray, seed: np.ndarray) -> tuple[np.n
         at, bits, step = start[walk], seed[walk], 0
         while len(walk):
             u = arrays.mixed(bits + np.uint64(step * arrays.BYTE_BASE % 2**64))
-            edge = lattice.ptr[at]
-            later = np.flatnonzero(lattice.upto[edge] < u)
+            edge = lattice.ptr.take(at).astype(np.intp)
+            later = np.flatnonzero(lattice.upto.take(edge) < u)
             while len(later):
                 edge[later] += 1
-                later = later[lattice.upto[edge[later]] < u[later]]
+                later = later[lattice.upto.take(edge.take(later)) < u.take(later)]
             chosen.append((walk, edge, step))
             count[walk] += 1
-            at, step = lattice.source[edge], step + 1
+            at, step = lattice.source.take(edge), step + 1
             go = np.flatnonzero(at >= goal)
-            walk, at, bits = walk[go], at[go], bits[go]
+            walk, at, bits = walk.take(go), at.take(go), bits.take(go)
     first = np.concatenate([[0], np.cumsum(count)])
     path = np.empty(first[-1], np.int64)
     for walk, edge, step in chosen:
@@ -309,22 +306,28 @@ class Draws:
             owner = np.repeat(np.arange(rows), n)
             near = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             behind = whole[owner] - sums[near + 1]
-            # the children there that were not chosen
+            # the children there that were not chosen; what they share is found once a place
             node = lat.to[path[near]]
             size = lat.ptr[node + 1] - lat.ptr[node]
-            place, edge = np.repeat(near, size), np.arange(int(size.sum())) + np.repeat(lat.ptr[node] - (np.cumsum(size) - size), size)
-            owner, behind = np.repeat(owner, size), np.repeat(behind, size)
-            rest = np.flatnonzero((edge != path[place]) & (lat.share[edge] > 0))
-            place, edge, owner, behind = place[rest], edge[rest], owner[rest], behind[rest]
-            walk = np.searchsorted(first, place, side="right") - 1
+            some = np.flatnonzero(size > 1)
+            near, node, size, owner, behind = near[some], node[some], size[some], owner[some], behind[some]
+            walk = np.searchsorted(first, near, side="right") - 1
+            there = np.repeat(np.arange(len(near)), size)
+            edge = np.arange(len(there)) + (lat.ptr[node] - (np.cumsum(size) - size)).take(there)
+            share = lat.share.take(edge)
+            rest = np.flatnonzero((edge != path[near].take(there)) & (share > 0))
+            there, edge = there.take(rest), edge.take(rest)
+            owner, phi = owner.take(there), behind.take(there) + np.log(share.take(rest))
             # told apart in the hash by the unit's position and the number among the edges there
-            spot = (np.searchsorted(lat.base, lat.to[edge], side="right") * 64 + edge - lat.ptr[lat.to[edge]]).astype(np.uint64)
-            bits = walk_seed[walk] ^ (spot * np.uint64(arrays.WORD_BASE) + np.uint64(arrays.WORD_BASE))
-            phi = behind + lat.logp(edge)
-            given = -np.logaddexp(-tops[owner], np.log(-np.log(uniform(arrays.mixed(bits)))) - phi)
-            for i in best_of(owner, given, k - draw, rows).tolist():
+            spot = lat.position[node].astype(np.int64) * 64 + 64 - lat.ptr[node]
+            bits = walk_seed[walk].take(there) ^ ((spot.take(there) + edge).astype(np.uint64) * np.uint64(arrays.WORD_BASE) + np.uint64(arrays.WORD_BASE))
+            # less a child's own Gumbel value; among a row's children the values cut off at the row's have the same order
+            less = np.log(-np.log(uniform(arrays.mixed(bits)))) - phi
+            best = best_of(owner, -less, k - draw, rows)
+            given = -np.logaddexp(-tops[owner[best]], less[best])
+            for i, value in zip(best.tolist(), given.tolist(), strict=True):
                 r = int(owner[i])
-                agendas[r].append((float(given[i]), float(phi[i]), draw, int(place[i] - cuts[r]), int(edge[i]), int(walks[walk[i]])))
+                agendas[r].append((value, float(phi[i]), draw, int(near[there[i]] - cuts[r]), int(edge[i]), int(walks[walk[there[i]]])))
             for r in active:
                 edges, rest = tails[r]
                 part = path[cuts[r] : cuts[r + 1]]
@@ -393,6 +396,7 @@ def loaded(path: str, alpha: float) -> Pieces:
     """A worker keeps the vocabulary over tasks."""
     if (path, alpha) not in LOADED:
         LOADED[path, alpha] = Pieces(path, alpha)
+        arrays.released()
     return LOADED[path, alpha]
 
 
