@@ -99,6 +99,24 @@ def test_passages_of_an_empty_table(spark):
     assert passages.scan(docs, passages.learn(docs)).count() == 0
 
 
+def test_only_pieces_with_neighbours_are_sorted(monkeypatch):
+    import pyarrow as pa
+
+    rng, sorted_bytes = random.Random(2), []
+    monkeypatch.setattr(passages, "suffix_array", lambda text, bounds: sorted_bytes.append(len(text)) or suffix_groups.suffix_array(text, bounds))
+    one, two, three, four = ("".join(rng.choice("abcd") for _ in range(60)).encode() for _ in range(4))
+    rows = [(1, 4, 9, one), (1, 3, 3, one), (2, 5, 5, two), (3, 7, 7, three), (3, 7, 7, four)]  # group, least and greatest id, piece
+    group, low, high, piece = zip(*rows, strict=True)
+
+    def found(kept):
+        table = pa.table({"g": pa.array(group, pa.int64()), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()), "piece": pa.array(piece, pa.binary())})
+        return [r[1:] for b in passages.solved(table.take(kept), 50) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+    assert found([0, 1, 2, 3, 4]) == [(3, 0, 11)] and not sorted_bytes
+    piece = (one, one[5:], *piece[2:])
+    assert sorted(found([0, 1, 2, 3, 4])) == [(3, 5, 11), (4, 0, 5)] and sorted_bytes == [1 + 61 + 56]
+
+
 def test_a_group_of_copies_keeps_its_first(spark):
     text = "one line that a great many documents carry, word for word, from its first letter to its last"
     docs = spark.range(3000).selectExpr("id AS doc_id", f"concat(if(id % 3 = 0, '', cast(id AS string)), '{text}', if(id % 2 = 0, '', cast(id AS string))) AS text")
