@@ -441,6 +441,27 @@ def test_tagging_keeps_no_more_than_the_scores_of_its_windows():
         tracemalloc.stop()
 
 
+@pytest.mark.parametrize("fast_tanh", [False, True])
+def test_windows_of_all_widths_are_scored_together(monkeypatch, fast_tanh):
+    tagger, rng, runs, scorer = pii.Tagger(seed=4), np.random.default_rng(5), [], pii.Tagger.scorer
+    tagger.p["trans"], tagger.p["bias"] = rng.normal(size=(pii.TAGS,) * 2), rng.normal(size=pii.TAGS)
+    monkeypatch.setattr(pii, "FAST_TANH", fast_tanh)
+
+    def watched(self):
+        run = scorer(self)
+        return lambda code, live: runs.append((code, run(code, live))) or runs[-1][1]
+
+    monkeypatch.setattr(pii.Tagger, "scorer", watched)
+    sizes = range(250, 10, -30)
+    tagger.tagged([rng.integers(32, 127, n).astype(np.uint8) for n in sizes])
+    assert len(runs) == 1  # one for each of eight widths before
+    code, found = runs[0]
+    for k, n in enumerate(sizes):
+        width = -(-n // pii.OVERLAP) * pii.OVERLAP
+        own = tagger.emissions(code[:width, k].astype(np.int64)[None])[0][0]
+        assert np.abs(found[:width, k] - (own[:, 1:] - own[:, :1] + tagger.lead())).max() < 1e-4
+
+
 def test_powers_end_with_the_task():
     arrays.powers(arrays.BYTE_BASE).upto(1 << 20)
     arrays.released()
