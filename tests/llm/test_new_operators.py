@@ -177,6 +177,26 @@ def test_failures_of_the_border_are_followed_until_it_is_closed(spark):
     assert sorted(map(tuple, whole[0].collect())) == sorted(tuple(r) for p in passes for r in p.collect())
 
 
+def test_passes_for_failures_read_only_the_pieces_that_hold_them(spark, monkeypatch):
+    rows, counted, read = [(x or "und", t or "") for x, t in phrase_rows()], collocations.counted, []
+    failing = [("en", "The of zu; a run that Nobody proposed, the of"), ("zz", "Ünd one\tmore\r\n")] * 7
+    as_docs = lambda rows: spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    proposals = collocations.closed(as_docs(rows), None, 5, 4)
+    proposals = proposals[0].select("key").union(proposals[1].select("key")).union(proposals[2].select("key")).union(proposals[3].select("key"))
+    docs = as_docs(rows + failing)
+    whole = collocations.closed(docs, None, 5, 4)
+
+    def watched(docs, *rest):
+        read.append(docs.selectExpr("sum(length(text))").first()[0])
+        return counted(docs, *rest)
+
+    monkeypatch.setattr(collocations, "counted", watched)
+    passes = collocations.closed(docs, proposals, 5, 4)
+    assert sorted(tuple(r) for p in passes for r in p.collect()) == sorted(tuple(r) for p in whole for r in p.collect())
+    held = 7 * (len("a run that nobody proposed") + len("ünd one more"))
+    assert len(read) == 4 and read[0] > 2 * max(read[1:]) and all(n >= held for n in read[1:])
+
+
 def test_collocations_of_an_empty_table(spark):
     assert collocations.mine(spark.createDataFrame([], "lang string, text string")).count() == 0
 
